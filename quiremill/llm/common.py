@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import json
 import tempfile
 import uuid
 
@@ -43,6 +44,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A DataFrame of a few rows held by the driver, made by SQL functions alone."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    text = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
+    kind = ", ".join(f"{c.split()[0]}: {c.split()[1]}" for c in schema.split(", "))
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{kind}>>")))
+
+
 def small(df: DataFrame, rows: int | None = None, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``bound`` rows (counted unless given); else as it is."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= bound else df

@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm import mixing, sharding, url_filter
+from quiremill.llm import embed_dedup, fingerprint, mixing, sharding, url_filter
 from quiremill.llm.common import shared_path
 from quiremill.sources.tables import read
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of one label at a cosine of 0.93 or more."""
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, and likeness to these and to the next documents."""
+    return fingerprint.fingerprints_with_next(read(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards under a stored slot map; law ``bytes``."""
     found = sharding.shard(read(spark, sf_dir, "documents"), shared_path(spark, "slot-map"), 16)
@@ -28,7 +38,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {"op6_sharding": op6_sharding, "op8_url_filter": op8_url_filter, "op10_mixing": op10_mixing}
+QUERIES = {"op3_embedding_dedup": op3_embedding_dedup, "op5_fingerprint": op5_fingerprint, "op6_sharding": op6_sharding, "op8_url_filter": op8_url_filter, "op10_mixing": op10_mixing}
 
 ORACLES: dict[str, str] = {}
 ORACLES["op8_url_filter"] = r"""

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import checkpointed
+from quiremill.llm.common import checkpointed, local_frame
 
 #: Virtual slots; the map and the bytes per slot have this many rows at most, at any size of input.
 SLOTS = 4096
@@ -78,7 +78,7 @@ def map_rows(held: dict[int, int], loads: Sequence[tuple[int, int, int]], versio
 
 def store_map(spark: SparkSession, rows: Sequence[tuple], path: str) -> None:
     """Adds a version to the map table at ``path``; versions that are there stay."""
-    spark.createDataFrame(list(rows), MAP_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    local_frame(spark, rows, MAP_SCHEMA).write.mode("append").parquet(path)
 
 
 def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import ascii_lower, small
+from quiremill.llm.common import ascii_lower, local_frame, small
 
 ALLOW, BLOCK = "allow", "block"
 #: Hex digits of a digest that the join uses.
@@ -22,7 +22,7 @@ PREFIX_HEX = 8
 
 def rules_frame(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Rules (host, path, action) as a DataFrame."""
-    return spark.createDataFrame(list(rules), "host string, path string, action string")
+    return local_frame(spark, rules, "host string, path string, action string")
 
 
 def host_and_path(url):
