@@ -1,6 +1,65 @@
-STAGES = []
+"""From raw documents to token ids: quality, near-duplicates, mixing, tokens. Each stage is written and read again.
+
+A stage takes (spark, docs, sf_dir). docs are documents, or what the stage before kept; all but the last stage return the
+columns of docs as they are.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quiremill.llm import bpe, mixing, ngram_join, quality
+from quiremill.llm.common import checkpointed, shared_path
+from quiremill.llm.queries import RANKS
+from quiremill.sources.tables import read
+
+
+def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose id is in ``ids`` (doc_id); a null id matches a null."""
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    kept = quality.resample(docs, read(spark, sf_dir, "labels")).where("kept").select("doc_id").distinct()
+    return _chosen(docs, checkpointed(kept))
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: the one with the smallest id; rows repeated under that id count once."""
+    classes = ngram_join.similar_classes(docs)
+    kept = checkpointed(classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count())
+    out = _chosen(docs, kept.select("doc_id"))
+    repeated = kept.where("count > 1").take(1)
+    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; those that it doesn't take go."""
+    taken = mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
+    ids = checkpointed(taken).withColumnRenamed("doc_id", "_id")
+    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(docs[c] for c in docs.columns))
+
+
+def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their token ids, their number, and whether decoding gave the text back."""
+    found = bpe.round_trip(docs, RANKS)
+    return found.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("exact", F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).drop("decoded")
+
+
+STAGES = [("quality", quality_stage), ("near_duplicates", dedup_stage), ("mixing", mixing_stage), ("tokens", tokens_stage)]
+
+#: SQL has neither the trained weights nor the links; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over the documents under ``sf_dir``."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = shared_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Rows up to which a table of a few narrow columns is broadcast after its rows were counted.
 BROADCAST_ROWS = 20_000
@@ -52,6 +53,11 @@ def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{kind}>>")))
 
 
+def with_fields(kept: StructField, ddl: str) -> StructType:
+    """A schema of one kept field and those of a DDL string."""
+    return StructType([kept, *StructType.fromDDL(ddl).fields])
+
+
 def small(df: DataFrame, rows: int | None = None, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``bound`` rows (counted unless given); else as it is."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= bound else df

@@ -2,21 +2,45 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm import embed_dedup, fingerprint, mixing, sharding, url_filter
+from quiremill.llm import bpe, embed_dedup, fingerprint, html_text, license_scan, mixing, ngram_join, quality, sharding, url_filter
 from quiremill.llm.common import shared_path
 from quiremill.sources.tables import read
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+#: The rank file of the tokenizer; a parameter of bpe.round_trip.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of every document, confirmed ones and whether there is licence text of an unknown one, with all passages."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs, license_scan.train(docs))
+    families = F.array_sort(F.array_distinct(F.transform("licenses", lambda s: s["family"])))
+    return found.select("doc_id", F.array_remove(families, license_scan.UNKNOWN).alias("families"), F.array_contains(families, license_scan.UNKNOWN).alias("has_unknown"), F.size("licenses").cast("long").alias("n_passages"), "licenses")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of what they decode to."""
+    found = bpe.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"), RANKS)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings of one label at a cosine of 0.93 or more."""
     return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of all documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return ngram_join.similar_classes(read(spark, sf_dir, "documents"))
+
+
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and their edited texts, and likeness to these and to the next documents."""
     return fingerprint.fingerprints_with_next(read(spark, sf_dir, "documents"))
@@ -28,17 +52,31 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, score and decision for every document."""
+    return quality.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's URL."""
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html_text.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of their words by weights 3, 1, 2."""
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {"op3_embedding_dedup": op3_embedding_dedup, "op5_fingerprint": op5_fingerprint, "op6_sharding": op6_sharding, "op8_url_filter": op8_url_filter, "op10_mixing": op10_mixing}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_license_scan, op2_bpe, op3_embedding_dedup, op4_ngram_join, op5_fingerprint, op6_sharding, op7_quality, op8_url_filter, op9_html_text, op10_mixing)
+}
 
 ORACLES: dict[str, str] = {}
 ORACLES["op8_url_filter"] = r"""
