@@ -191,8 +191,10 @@ class Model:
 
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model with paragraphs of ``sample`` documents at most as prose; lines that speak of licences or rights are no prose."""
-    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.substring(text_col, 1, 20_000).alias("text"))
-    picked = rows.orderBy(F.md5(F.coalesce("id", F.lit(""))), F.length("text"), "text").limit(sample).collect() if sample else []
+    rows = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    ids = rows.select("id").distinct().orderBy(F.md5("id"), "id").limit(sample)
+    # One text an id, so that SAMPLE texts reach the driver at most; a long one gives its first paragraphs.
+    picked = rows.join(F.broadcast(ids), "id").groupBy("id").agg(F.min(F.left("text", F.lit(20_000))).alias("text")).orderBy("id").collect() if sample else []
     lines = [x for r in picked for x in r.text.split("\n") if x.strip() and not re.search(r"licen[cs]|copyright|rights|public|permission|creative commons", x, re.I)]
     return Model([" ".join(x.split()[:WINDOW]) for x in lines][: 4 * sample])
 
