@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import heapq
 import os
-import tempfile
 from collections.abc import Iterable, Iterator
 
 import duckdb
@@ -69,7 +68,7 @@ class Codec:
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})  # a block fits in memory; nothing is written to local folders
         pairs, merged = [], []
         for t, rank in self.ranks.items():
             for i in range(1, len(t)):
