@@ -88,3 +88,34 @@ select page_id, host, path, max_by(rh || rp, length(rh || rp)) as rule, coalesce
 from u left join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp)
 group by page_id, host, path
 """
+ORACLES["op3_embedding_dedup"] = r"""
+with recursive v as (select vec_id, label, embedding::double[] as e from embeddings where label is not null and embedding is not null and len(embedding) > 0
+  and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(vec_id, root) as (select vec_id, vec_id from embeddings union select y, root from reach join links on vec_id = x),
+c as (select vec_id, min(root) as component_id from reach group by vec_id), n as (select x, count(*) as n_links from links group by x)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept from c left join n on vec_id = x
+"""
+ORACLES["op4_ngram_join"] = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select distinct doc_id, unnest(case when len(ws) >= 4 then list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as sh from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.sh = b.sh and a.doc_id <> b.doc_id group by all),
+links as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * k >= 85 * (a.n + b.n - k)),
+reach(doc_id, root) as (select doc_id, doc_id from documents union select y, root from reach join links on doc_id = x)
+select doc_id, coalesce(max(n.n), 0)::bigint as n_shingles, min(root) as component_id from reach left join n using (doc_id) group by doc_id
+"""
+ORACLES["op10_mixing"] = r"""
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size, (('0x' || left(md5('mix:' || doc_id), 12))::bigint + 0.5) / 281474976710656.0::double as u from documents),
+s as (select source, sum(size)::bigint as source_size, ([3, 1, 2])[(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight from d group by source),
+l as (select *, 2.0::double * source_size as cap, (1.5::double * sum(source_size) over () - (sum(2.0::double * source_size) over o - 2.0::double * source_size)) / (sum(weight) over () - sum(weight) over o + weight) as level
+  from s window o as (order by 2.0 * source_size / weight, source nulls last rows unbounded preceding)),
+t as (select source, source_size, case when cap <= level * weight then cap else weight * max(case when cap > level * weight then level end) over () end as target from l),
+r as (select *, case when source_size > 0 then least(target / source_size, 2.0) else 0.0 end as rate from t),
+q as (select *, floor(rate)::int as certain, greatest(target - floor(rate)::int * source_size, 0.0) as rest from r),
+c as (select d.doc_id, d.source, d.size, d.u, q.source_size, q.target, q.certain, q.rest, sum(d.size) over (partition by d.source order by d.u, d.doc_id rows unbounded preceding) as upto from d join q on d.source is not distinct from q.source),
+m as (select *, upto <= rest as drawn, rest - max(case when upto <= rest then upto else 0 end) over (partition by source) as missing from c),
+k as (select *, row_number() over (partition by source, drawn order by abs(size - missing), u) = 1 and not drawn and abs(size - missing) < missing as closing from m),
+f as (select *, case when size > 0 then least(certain + (case when rest > 0 and (drawn or closing) then 1 else 0 end), 2) else 0 end as copies from k)
+select doc_id, size, source_size, target, (copies * size)::bigint as taken, source, copies::int as copies from f
+"""
