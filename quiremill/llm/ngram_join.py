@@ -11,9 +11,10 @@ one bit at most. Of that block's three words two are equal: blocks are joined on
 within d can be missed.
 
 Nodes that share a key form a run. First each node is verified against one centre, the least node of a run with which it shares
-most keys; the links make classes. Then all pairs of a run that are still in different classes are compared by larger
-sketches, in tiles of bounded size, and those whose Hamming distance allows a link are verified. Verification counts
-the whole sets of whole texts.
+most keys; the links make classes. Two nodes of a run are both in the group of the run's centre. Groups that still hold
+several classes are compared by larger sketches, in tiles of bounded size; the nodes whose Hamming distance to one of another class
+allows a link meet again in their tiles with their texts, and a tile gives the links that join its classes, never
+its pairs. Verification counts the whole sets of whole texts.
 """
 
 from __future__ import annotations
@@ -34,9 +35,7 @@ from quiremill.llm.components import components
 SHINGLE = 4
 NUM, DEN = 85, 100
 RATIO = 1.3
-TILE = 1024
-#: Words whose hashes a worker holds at most; then it starts anew.
-CACHED = 400_000
+TILE = 512
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -47,27 +46,77 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+#: Bytes of a text that are hashed at once; a stretch ends at white space, or grows until it does.
+STRETCH = 1 << 20
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)[_LOWER]
+_BASE = 0xF1357AEA2E62A9C5
+_STEPS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd base and of its inverse, modulo 2 ** 64."""
+    if len(_STEPS.get("up", ())) < n:
+        size = max(4096, 1 << (n - 1).bit_length())
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _STEPS[name] = np.multiply.accumulate(steps)
+    return _STEPS["up"][:n], _STEPS["down"][:n]
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text: polynomials over random values of its lower-cased bytes, from differences of one running sum."""
+    out, at = [], 0
+    while at < len(raw):
+        end = min(len(raw), at + STRETCH)
+        while end < len(raw) and not _SPACE[raw[end]]:
+            cut = end
+            while cut > at and not _SPACE[raw[cut - 1]]:
+                cut -= 1
+            end = cut if cut > at else min(len(raw), end + STRETCH)
+        b = np.frombuffer(raw, np.uint8, end - at, at)
+        blank = np.ones(len(b) + 2, np.int8)
+        blank[1:-1] = _SPACE[b]
+        edge = np.diff(blank)
+        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        up, down = _powers(len(b) + 1)
+        total = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(_BYTE[b] * up[1:], out=total[1:])
+        out.append(_mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64)))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
+    """Sorted distinct 64-bit hashes of a text's shingles. A word is a run without ASCII white space, A-Z lower-cased."""
 
     def __init__(self, size: int = SHINGLE):
-        self.size, self.known = size, {}
+        self.size = size
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
-        if not words:
-            return np.empty(0, np.uint64)
-        if len(self.known) > CACHED:
-            self.known.clear()
-        known = self.known
-        for w in [w for w in {*words} if w not in known]:
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        size = min(self.size, len(words))
-        out = np.full(len(words) - size + 1, size, np.uint64)
+        h = word_hashes((text or "").encode("utf-8", "surrogatepass"))
+        if not len(h):
+            return h
+        size = min(self.size, len(h))
+        out = np.full(len(h) - size + 1, size, np.uint64)
         for k in range(size):
-            out = out * _ODD + h[k : len(words) - size + 1 + k]
-        return np.unique(_mix(out))
+            out = out * _ODD + h[k : len(h) - size + 1 + k]
+        out = np.sort(_mix(out))
+        new = np.ones(len(out), bool)
+        np.not_equal(out[1:], out[:-1], out=new[1:])
+        return out[new]
+
+
+def _flips(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Words of 64 bits in which each hash has flipped the bit of its low digits, in word ``at`` (ascending)."""
+    words = np.zeros(size, np.uint64)
+    start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    words[at[start]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), start)
+    return words
 
 
 def node_of(h: np.ndarray) -> int:
@@ -101,23 +150,25 @@ def sketch_keys(h: np.ndarray, num: int = NUM, den: int = DEN, ratio: float = RA
         if not d:
             continue  # only equal sets link, and those are one node
         blocks = (d + 2) // 2
-        words = np.zeros(3 * blocks, np.uint64)
         at = ((h >> np.uint64(32)) * np.uint64(3 * blocks)) >> np.uint64(32)
-        np.bitwise_xor.at(words, at.astype(np.int64), np.uint64(1) << (h & np.uint64(63)))
-        w = words.reshape(blocks, 3)
-        tag = (np.arange(blocks, dtype=np.uint64) << np.uint64(20)) | np.uint64(band << 2)
-        for k, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
-            out.append(_mix(_mix(_mix(w[:, i] + _ODD) + w[:, j]) + tag + np.uint64(k)))
+        w = _flips(h, at.astype(np.int64), 3 * blocks).reshape(blocks, 3)
+        tag = ((np.arange(blocks, dtype=np.uint64) << np.uint64(20)) | np.uint64(band << 2))[:, None] | np.arange(3, dtype=np.uint64)
+        out.append(_mix(_mix(w[:, [0, 0, 1]] + tag * _ODD) + w[:, [1, 2, 2]]).ravel())
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
 def parity(h: np.ndarray) -> bytes:
-    """A sketch of a power of two of bits, at least twice the shingles and 1024. Half as many bits: its halves XORed."""
-    bits = max(1024, 1 << (2 * len(h) - 1).bit_length())
-    words = np.zeros(bits // 64, np.uint64)
-    at = (h >> np.uint64(6)) & np.uint64(bits // 64 - 1)
-    np.bitwise_xor.at(words, at.astype(np.int64), np.uint64(1) << (h & np.uint64(63)))
-    return words.tobytes()
+    """A sketch of a power of two of bits, at least the shingles and 512. Half as many bits: neighbouring words XORed."""
+    words = max(8, 1 << max(0, (len(h) - 1).bit_length() - 6))
+    at = h >> np.uint64(64 - (words.bit_length() - 1))
+    return _flips(h, at.astype(np.int64), words).tobytes()
+
+
+def fold(x: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (rows of words) brought to ``width`` words."""
+    while x.shape[1] > width:
+        x = x[:, 0::2] ^ x[:, 1::2]
+    return x
 
 
 def _sets(size: int):
@@ -125,7 +176,7 @@ def _sets(size: int):
         shingles = Shingler(size)
         for batch in batches:
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), batch.column(2)], names=["id", "n", "node", "h"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), batch.column(2), pa.array([parity(s) if len(s) else None for s in sets], pa.binary())], names=["id", "n", "node", "h", "sketch"])
 
     return run
 
@@ -200,49 +251,25 @@ def _verified(size: int, num: int, den: int):
     return run
 
 
-def _sketches(size: int):
+def _plausible(num: int, den: int):
+    """Over rows (u, v, n_u, n_v, sketch_u, sketch_v): the pairs whose sizes and sketches allow a link."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(size)
         for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity(s) for s in sets], pa.binary())], names=["node", "n", "sketch"])
+            a, b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            ok = den * np.minimum(a, b) >= num * np.maximum(a, b)
+            for i in np.flatnonzero(ok):
+                p, q = (np.frombuffer(batch.column(c)[i].as_py(), np.uint64)[None, :] for c in (4, 5))
+                width = min(p.shape[1], q.shape[1])
+                far = int(np.bitwise_count(fold(p, width) ^ fold(q, width)).sum())
+                ok[i] = far * (den + num) <= (den - num) * int(a[i] + b[i])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["u", "v"])
 
     return run
 
 
-def _near(num: int, den: int):
-    """Over rows sorted by (key, tile): pairs of different classes whose sizes and sketches allow a link."""
-
-    def fold(x: np.ndarray, width: int) -> np.ndarray:
-        while x.shape[1] > width:
-            x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
-        return x
-
-    def solve(t: pa.Table):
-        node, n, label, part, cross = (t.column(c).to_numpy() for c in ("node", "n", "label", "part", "cross"))
-        raw = [np.frombuffer(x, np.uint64) for x in t.column("sketch").to_pylist()]
-        width = np.array([len(x) for x in raw])
-        us, vs = [], []
-        widths = np.unique(width)
-        stacked = {w: np.stack([raw[i] for i in np.flatnonzero(width == w)]) for w in widths}
-        for x in widths:
-            for y in widths[widths >= x]:
-                i, j = np.flatnonzero(width == x), np.flatnonzero(width == y)
-                p, q = stacked[x], fold(stacked[y], x)
-                for k in range(len(i)):
-                    ok = label[j] != label[i[k]]
-                    ok &= (den * np.minimum(n[j], n[i[k]]) >= num * np.maximum(n[j], n[i[k]])) & (node[j] > node[i[k]] if x == y else True)
-                    if cross[0]:
-                        ok &= part[j] != part[i[k]]
-                    at = np.flatnonzero(ok)
-                    if len(at):
-                        far = np.bitwise_count(q[at] ^ p[k]).sum(1)
-                        at = at[far * (den + num) <= (den - num) * (n[j[at]] + n[i[k]])]
-                        us.append(np.full(len(at), node[i[k]]))
-                        vs.append(node[j[at]])
-        if us:
-            u, v = np.concatenate(us), np.concatenate(vs)
-            yield np.minimum(u, v), np.maximum(u, v)
+def _tiles(solve):
+    """Calls ``solve`` on each run of rows of one (centre, tile), over rows sorted by these; what it yields are columns of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -252,22 +279,84 @@ def _near(num: int, den: int):
                 rest = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
             if rest is None or not rest.num_rows:
                 continue
-            key, tile = rest.column("key").to_numpy(), rest.column("tile").to_numpy()
-            ends = (np.flatnonzero((key[1:] != key[:-1]) | (tile[1:] != tile[:-1])) + 1).tolist()
+            centre, tile = rest.column("centre").to_numpy(), rest.column("tile").to_numpy()
+            ends = (np.flatnonzero((centre[1:] != centre[:-1]) | (tile[1:] != tile[:-1])) + 1).tolist()
             if batch is None:
                 ends.append(rest.num_rows)
-            out, lo = [], 0
+            lo = 0
             for hi in ends:
-                if hi - lo > 1:
-                    out += solve(rest.slice(lo, hi - lo))
+                if hi - lo > 1 and (out := solve(rest.slice(lo, hi - lo))) is not None:
+                    yield out
                 lo = hi
             rest = rest.slice(lo)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], names=["u", "v"])
 
     return run
 
 
+def _partners(i: int, n, part, cross: bool, sketches: dict, width, at: dict, num: int, den: int) -> np.ndarray:
+    """Rows after row i whose sizes and sketches allow a link with it; in a tile of two parts, of the other part."""
+    found = []
+    for x, rows in at.items():
+        rows = rows[(rows > i) & (den * np.minimum(n[rows], n[i]) >= num * np.maximum(n[rows], n[i]))]
+        if cross:
+            rows = rows[part[rows] != part[i]]
+        if len(rows):
+            w = min(x, width[i])
+            own = fold(sketches[width[i]][np.searchsorted(at[width[i]], i)][None, :], w)
+            far = np.bitwise_count(fold(sketches[x][np.searchsorted(at[x], rows)], w) ^ own).sum(1)
+            found.append(rows[far * (den + num) <= (den - num) * (n[rows] + n[i])])
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
+def _stacked(raw: list[np.ndarray]) -> tuple[np.ndarray, dict, dict]:
+    width = np.array([len(x) for x in raw])
+    at = {int(w): np.flatnonzero(width == w) for w in np.unique(width)}
+    return width, at, {w: np.stack([raw[i] for i in rows]) for w, rows in at.items()}
+
+
+def _flagged(num: int, den: int):
+    """The rows of a tile that may link with a row of another class."""
+
+    def solve(t: pa.Table):
+        n, label, part = (t.column(c).to_numpy() for c in ("n", "label", "part"))
+        width, at, sketches = _stacked([np.frombuffer(x, np.uint64) for x in t.column("sketch").to_pylist()])
+        cross, keep = bool(t.column("cross")[0].as_py()), np.zeros(len(n), bool)
+        for i in range(len(n)):
+            j = _partners(i, n, part, cross, sketches, width, at, num, den)
+            j = j[label[j] != label[i]]
+            if len(j):
+                keep[i] = True
+                keep[j] = True
+        if keep.any():
+            return t.select(["centre", "tile", "node", "label", "part", "cross"]).filter(pa.array(keep)).combine_chunks().to_batches()[0]
+
+    return _tiles(solve)
+
+
+def _tile_links(size: int, num: int, den: int):
+    """Links between the classes of a tile, found by whole sets: one for each two classes that it joins, never its pairs."""
+    shingles = Shingler(size)
+
+    def solve(t: pa.Table):
+        node, label, part = (t.column(c).to_numpy() for c in ("node", "label", "part"))
+        sets = [shingles(x.as_py()) for x in t.column("text")]
+        n = np.array([len(x) for x in sets])
+        width, at, sketches = _stacked([np.frombuffer(parity(x), np.uint64) for x in sets])
+        cross, root, out = bool(t.column("cross")[0].as_py()), label.copy(), []
+        for i in range(len(n)):
+            for j in _partners(i, n, part, cross, sketches, width, at, num, den):
+                if root[i] == root[j]:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if den * both >= num * (n[i] + n[j] - both):
+                    root[root == root[j]] = root[i]
+                    out.append((node[i], node[j]))
+        if out:
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], names=["u", "v"])
+
+    return _tiles(solve)
+
+
 def _ended(batches):
     yield from batches
     yield None
@@ -280,9 +369,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) -
     return both.mapInArrow(_verified(size, num, den), "u long, v long")
 
 
-def _node_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text), one text for each node of ``wanted`` (node, rep): that of the document which stands for it."""
-    at = wanted.select(F.col("rep.id").alias("rep_id"), F.col("rep.h").alias("rep_h"), "node")
+def _node_texts(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, text), one text for each node of ``pairs``: that of the document which stands for it."""
+    wanted = reps.join(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi")
+    at = checkpointed(wanted.select(F.col("rep.id").alias("rep_id"), F.col("rep.h").alias("rep_h"), "node"))
     found = checkpointed(docs.join(at, docs["id"].eqNullSafe(at["rep_id"]) & (docs["h"] == at["rep_h"])).select("node", "text"))
     one = found.groupBy("node").count().where("count > 1").take(1)  # rows that are repeated
     return checkpointed(found.dropDuplicates(["node"])) if one else found
@@ -297,7 +387,13 @@ def similar_classes(df: DataFrame, size: int = SHINGLE, num: int = NUM, den: int
     """
     spark = df.sparkSession
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
-    slim = checkpointed(docs.select("id", "text", "h").mapInArrow(_sets(size), "id long, n long, node long, h long"))
+    kind = dict(docs.dtypes)["id"]
+    slim = checkpointed(docs.select("id", "text", "h").mapInArrow(_sets(size), f"id {kind}, n long, node long, h long, sketch binary"))
+
+    known = F.struct(F.col("id").isNull().alias("null"), "id", "h")
+    nodes = slim.where("node is not null").groupBy("node").agg(F.min(known).alias("rep"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
+    nodes = checkpointed(nodes)
+    reps, sketches = nodes.select("node", "rep"), nodes.select("node", "n", "sketch")
 
     # Runs of nodes that share a key, and the first links.
     keyed = docs.select("text").mapInArrow(_keys(size, num, den), "key long, node long")
@@ -305,26 +401,27 @@ def similar_classes(df: DataFrame, size: int = SHINGLE, num: int = NUM, den: int
     release(spark)
     best = runs.where("node <> centre").groupBy("node", "centre").count().groupBy("node").agg(F.max(F.struct("count", (-F.col("centre")).alias("c"))).alias("b"))
     first = checkpointed(best.select((-F.col("b.c")).alias("u"), F.col("node").alias("v")))
-
-    known = F.struct(F.col("id").isNull().alias("null"), "id", "h")
-    reps = slim.where("node is not null").groupBy("node").agg(F.min(known).alias("rep"))
-    involved = checkpointed(runs.select("node").distinct())
-    texts = _node_texts(docs, reps.join(involved, "node", "left_semi"))
+    side = lambda x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    near = first.join(side("v"), "v").join(side("u"), "u").select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(_plausible(num, den), "u long, v long")
+    near = checkpointed(near)
+    links = checkpointed(_verify(near, _node_texts(docs, reps, near), size, num, den))
     release(spark)
-    links = checkpointed(_verify(first, texts, size, num, den))
     classes = components(links)
 
-    # What is left: pairs of one run in different classes.
-    labelled = runs.select("key", "node").join(classes, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
-    split = labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("members")).where("a <> b").select("key", F.ceil(F.col("members") / tile).cast("int").alias("parts"))
-    open_rows = labelled.join(split, "key").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    open_rows = open_rows.select("key", (F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).cast("long").alias("tile"), "node", "label", "part", (F.col("part") != F.col("other")).cast("int").alias("cross"))
-    sketches = texts.mapInArrow(_sketches(size), "node long, n long, sketch binary")
-    tiled = open_rows.join(sketches, "node").select("key", "tile", "node", "label", "part", "cross", "n", "sketch").repartition("key", "tile").sortWithinPartitions("key", "tile")
-    second = tiled.mapInArrow(_near(num, den), "u long, v long").distinct()
-    second = checkpointed(second.join(first, ["u", "v"], "left_anti"))
-    more = checkpointed(_verify(second, texts, size, num, den))
-    classes = components(links.unionAll(more)) if more.take(1) else classes
+    # What is left: two nodes of one run that are still in different classes. Runs of one centre are one group: both nodes are in it.
+    group = runs.select("centre", "node").distinct()
+    labelled = checkpointed(group.join(classes, "node", "left").select("centre", "node", F.coalesce("component", "node").alias("label")))
+    split = labelled.groupBy("centre").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("members")).where("a <> b").select("centre", F.ceil(F.col("members") / tile).cast("int").alias("parts"))
+    rows = labelled.join(split, "centre").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("centre", (F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).cast("long").alias("tile"), "node", "label", "part", (F.col("part") != F.col("other")).cast("int").alias("cross"))
+    tiled = rows.join(sketches, "node").select("centre", "tile", "node", "label", "part", "cross", "n", "sketch").repartition("centre", "tile").sortWithinPartitions("centre", "tile")
+    flagged = checkpointed(tiled.mapInArrow(_flagged(num, den), "centre long, tile long, node long, label long, part int, cross int"))
+    release(spark)
+    if flagged.take(1):
+        texts = _node_texts(docs, reps, flagged.select(F.col("node").alias("u"), F.col("node").alias("v")))
+        whole = flagged.join(texts, "node").select("centre", "tile", "node", "label", "part", "cross", "text").repartition("centre", "tile").sortWithinPartitions("centre", "tile")
+        more = checkpointed(whole.mapInArrow(_tile_links(size, num, den), "u long, v long"))
+        classes = components(links.unionAll(more))
 
     named = reps.join(classes, "node", "left").select("node", F.col("rep.id").alias("rep"), F.coalesce("component", "node").alias("class"))
     least = named.groupBy("class").agg(F.min("rep").alias("component_id"))
