@@ -73,7 +73,7 @@ def word_hashes(raw: bytes) -> np.ndarray:
     out, at = [], 0
     while at < len(raw):
         end = min(len(raw), at + STRETCH)
-        while end < len(raw) and not _SPACE[raw[end]]:
+        while end < len(raw) and not _SPACE[raw[end]] and not _SPACE[raw[end - 1]]:
             cut = end
             while cut > at and not _SPACE[raw[cut - 1]]:
                 cut -= 1
