@@ -210,8 +210,8 @@ _PATTERNS = [("mail", r"[A-Za-z0-9._]+@[a-z0-9.]+[a-z]", "study"), ("license", r
 select doc_id as slug, accession, case when contains(accession, '@') then 'mail' when accession in ('Licensed', 'Released') then 'license' else 'ip' end as repository, count(*) as n from h group by all"""
 )
 def finder_mentions(spark, sf_dir):
-    """Hits of a pattern table in ASCII documents, counted per document."""
-    d = read(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7F]"))
+    """Hits of a pattern table in all documents, counted per document. The SQL sees ASCII documents only."""
+    d = read(spark, sf_dir, "documents")
     b = d.select(F.col("doc_id").alias("slug"), F.lit(0).alias("index"), F.col("doc_id").cast("string").alias("block_id"), F.lit(None).cast("string").alias("section"), F.lit("paragraph").alias("kind"), "text")
     return select.mentions(b, _PATTERNS).groupBy("slug", "accession", "repository").agg(F.count(F.lit(1)).alias("n"))
 
