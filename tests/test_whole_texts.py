@@ -5,6 +5,7 @@ from collections import Counter
 
 import duckdb
 
+from quiremill.functions import quotes as Q
 from quiremill.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -41,3 +42,53 @@ def test_finder_mentions_over_the_table(spark):
     db.execute(f"create view documents as select * from '{SF}/documents.parquet'")
     want = db.execute(f"select slug, accession, repository, n from ({catalog.ORACLES['finder_mentions']})").fetchall()
     assert [r for r in got if r[0] in plain] == sorted(want) and len(got) > len(want)
+
+
+TURNS = [
+    # conversation, turns: the quote is what stands at characters 3 to 62 of each
+    ("a – “quoted” text…", 'and here: – "quoted" text... of it', "next"),
+    ("x ﬁne caf\u00e9 words", "so fine cafe\u0301 words there", "é"),
+    ("b Exact, words – all", "yes: Exact, words – all", "no"),
+    ("c Case AND marks!", "it has case, and marks – é", "zz"),
+    ("ééé", "ééé", "é  "),
+    ("", None, "é"),
+]
+
+
+def verdict(quote, text):
+    q, t = quote or "", text or ""
+    if not q.split():
+        return "empty_quote"
+    if q in t:
+        return "exact"
+    qn, tn = Q.normalized_text(q), Q.normalized_text(t)
+    if qn and qn in tn:
+        return "normalized"
+    ql, tl = (re.sub("[^0-9a-z]+", "", x.lower()) for x in (qn, tn))
+    return "loose" if ql and ql in tl else None
+
+
+def next_turn_verdicts(rows):
+    """rows: (conv_id, turn, text). A missing next turn and one without text are no block."""
+    text = {(c, t): x for c, t, x in rows}
+    key = lambda r: (r[0], r[1], str(r[2]))
+    return sorted(((c, t, "no_such_block" if text.get((c, t + 1)) is None else verdict(None if x is None else x[2:62], text[c, t + 1])) for c, t, x in rows), key=key)
+
+
+def judged(spark, path):
+    got = catalog.QUERIES["quote_verify_next_turn"](spark, path).select("conv_id", "turn", "verdict").collect()
+    return sorted(map(tuple, got), key=lambda r: (r[0], r[1], str(r[2])))
+
+
+def test_quotes_of_all_turns(spark, tmp_path):
+    rows = [(c, t, x) for c, turns in enumerate(TURNS) for t, x in enumerate(turns)]
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = judged(spark, str(tmp_path))
+    assert got == next_turn_verdicts(rows) and len(got) == len(rows)
+    assert [v for c, t, v in got if t == 0][:4] == ["normalized", "normalized", "exact", "loose"]
+
+
+def test_quotes_over_the_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "text").collect()]
+    got = judged(spark, SF)
+    assert got == next_turn_verdicts(rows) and len(got) == len(rows)
