@@ -27,8 +27,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: the one with the smallest id; rows repeated under that id count once."""
-    classes = ngram_join.similar_classes(docs)
+    """One document of each class of near-duplicates (five words, Jaccard 0.8): the one with the smallest id; rows repeated under that id count once."""
+    classes = ngram_join.similar_classes(docs, size=5, num=80, den=100)
     kept = checkpointed(classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count())
     out = _chosen(docs, kept.select("doc_id"))
     repeated = kept.where("count > 1").take(1)
