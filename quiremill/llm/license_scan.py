@@ -6,8 +6,9 @@ sample of the corpus's own paragraphs as prose. A temperature fitted on held-out
 the unknown class takes licence text of which no family reaches the probability that held-out variants of known families reach.
 A predicted family is confirmed if a notice of it shares enough word pairs with the passage; else the passage is unknown too.
 
-Paragraphs are lines. Those of more than ``WINDOW`` words are read in windows of so many words that overlap by half, so
-that a notice inside long prose isn't thinned out; the whole text is read in any case.
+Texts are read twice: line by line, for notices of one line, and by paragraphs (lines up to one without words) for those that
+are wrapped. What has more than ``WINDOW`` words is read in windows of so many words that overlap by half, so that a notice
+inside long prose isn't thinned out; the whole text is read in any case.
 """
 
 from __future__ import annotations
@@ -154,9 +155,8 @@ class Model:
         # Without known words a passage has the features of every other such passage, which is prose.
         if self.words.isdisjoint(tokens):
             return None
-        row = np.zeros(len(self.index) + 1)
-        self._fill(row, tokens)
-        p = self._softmax(row @ self.w / self.temperature)
+        found = [k for g in grams(tokens) if (k := self.index.get(g)) is not None]
+        p = self._softmax((self.w[found].sum(0) / max(1.0, np.sqrt(len(found))) + self.w[-1]) / self.temperature)
         k = int(p.argmax())
         if k == 0:
             return None
@@ -166,26 +166,64 @@ class Model:
         near = self.similarity(c, tokens)
         return c if p[k] >= self.least and near >= CONFIRMED else UNKNOWN, float(p[k]), near, c
 
+    def _windows(self, tokens: Sequence[tuple[str, int, int, int]], wrapped: bool = False) -> list[dict]:
+        """Passages of (word, start, end, line) by windows; ``wrapped`` leaves out windows of one line. Of overlapping windows that name one family the likelier stays."""
+        out, last = [], None
+        step = WINDOW if len(tokens) <= WINDOW else WINDOW // 2
+        for lo in range(0, max(1, len(tokens) - step) if len(tokens) > WINDOW else min(1, len(tokens)), step):
+            part = tokens[lo : lo + WINDOW]
+            if wrapped and part[0][3] == part[-1][3]:
+                continue
+            found = self.judge([t[0] for t in part])
+            if found is None:
+                continue
+            span = {"paragraph": part[0][3], "start": part[0][1], "end": part[-1][2], "family": found[0], "probability": found[1], "similarity": found[2], "predicted": found[3]}
+            if last is not None and last["predicted"] == span["predicted"] and span["start"] < last["end"]:
+                if (span["family"] != UNKNOWN, span["similarity"], span["probability"]) > (last["family"] != UNKNOWN, last["similarity"], last["probability"]):
+                    out[-1] = span
+            else:
+                out.append(span)
+            last = out[-1]
+        return out
+
+    def _part_of(self, family: str, tokens: Sequence[str]) -> bool:
+        """Whether a line is a piece of a notice of ``family``."""
+        own = set(zip(tokens, tokens[1:], strict=False))
+        return not own or max(len(p & own) for p, _ in self.pairs[family]) >= CONFIRMED * len(own)
+
     def scan(self, text: str | None) -> list[dict]:
-        """Licence passages of a whole text, with code point offsets. Of overlapping windows that name one family the likelier stays."""
+        """Licence passages of a whole text, with code point offsets and the number of the line where they start.
+
+        Passages of lines come first. A wrapped passage of a family is added unless a line that it covers has that family; lines unknown
+        by themselves that are pieces of its notice go. A wrapped unknown passage is added where nothing else is.
+        """
         out, at = [], 0
-        for i, line in enumerate((text or "").split("\n")):
-            tokens = [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(line)] if not self.words.isdisjoint(_WORD.findall(line.lower())) else []
-            step = WINDOW if len(tokens) <= WINDOW else WINDOW // 2
-            last = None
-            for lo in range(0, max(1, len(tokens) - step) if len(tokens) > WINDOW else min(1, len(tokens)), step):
-                part = tokens[lo : lo + WINDOW]
-                found = self.judge([t for t, _, _ in part])
-                if found is None:
-                    continue
-                span = {"paragraph": i, "start": at + part[0][1], "end": at + part[-1][2], "family": found[0], "probability": found[1], "similarity": found[2], "predicted": found[3]}
-                if last is not None and last["predicted"] == span["predicted"] and span["start"] < last["end"]:
-                    if (span["family"] != UNKNOWN, span["similarity"], span["probability"]) > (last["family"] != UNKNOWN, last["similarity"], last["probability"]):
-                        out[-1] = span
-                else:
-                    out.append(span)
-                last = out[-1]
+        lines: list[list[tuple[str, int, int, int]]] = []
+        text = text or ""
+
+        def close() -> None:
+            own = [x for line in lines for x in self._windows(line)]
+            if len(lines) > 1:
+                tokens = [t for line in lines for t in line]
+                wide = self._windows(tokens, wrapped=True)
+                for x in sorted(wide, key=lambda x: (x["family"] == UNKNOWN, x["start"])):
+                    over = [y for y in own if y["start"] < x["end"] and x["start"] < y["end"]]
+                    if x["family"] == UNKNOWN and over or any(y["family"] == x["family"] for y in over):
+                        continue
+                    if x["family"] != UNKNOWN:
+                        own = [y for y in own if y["family"] != UNKNOWN or y not in over or not self._part_of(x["family"], words(text[y["start"] : y["end"]]))]
+                    own.append(x)
+            out.extend(sorted(own, key=lambda x: (x["start"], x["end"])))
+            lines.clear()
+
+        for i, line in enumerate(text.split("\n")):
+            tokens = [(m.group().lower(), at + m.start(), at + m.end(), i) for m in _WORD.finditer(line)]
+            if tokens:
+                lines.append(tokens)
+            else:
+                close()
             at += len(line) + 1
+        close()
         return out
 
 
