@@ -5,14 +5,15 @@ where it divides. Its density is C / T * log(C / LC * T / LT) to the base ln(C /
 LCb and Cb of the body: text with few tags is dense, text in links is not. An element's density sum adds up its
 children's. Tags that mark up words (bold, spans) are part of their parent's text. The element with the largest sum is the content; the smallest density on its path to the body is the
 threshold, and elements elsewhere that reach it give their own largest-sum element. Elements that are never main text (scripts,
-menus, forms, adverts, reader comments, by tag, role or class) leave the tree before that.
+menus, forms, adverts, reader comments, by tag, role or whole class name) leave the tree before that, but a name doesn't
+count on an element that holds nearly all text of the page.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -45,31 +46,36 @@ ENDS = {
 }
 #: An end tag does not close elements beyond these.
 SCOPES = frozenset("table td th body html".split())
-#: Words of a class or id whose element is no main text.
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adslot|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|"
-    r"sidebar|side-?bar|widget|aside|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|header|site-?header|page-?header|footer|site-?footer|page-?footer|copyright|legal|"
-    r"comments?|commentlist|comment-?list|disqus|respond|replies|reply|discussion|share|sharing|social|related|recommended|recommendations|outbrain|taboola|tags?|tagcloud|skip-?link|search|searchbox)(?=$|[\s_-])",
-    re.I,
+#: Names (of a class or id) whose element is no main text: noise words alone or together, or with words of place.
+_WORD = (
+    r"(?:ads?|adverts?|advertisement|advertising|adslot|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|"
+    r"sidebar|side-?bar|widget|aside|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|header|footer|copyright|legal|"
+    r"comments?|commentlist|disqus|respond|replies|reply|share|sharing|social|related|recommended|recommendations|outbrain|taboola|tags?|tagcloud|skip-?link|search|searchbox)"
 )
+_PLACE = r"(?:site-?|page-?|(?:main|global|top|bottom|left|right|primary|secondary)[_-])"
+_NOISE = re.compile(rf"{_PLACE}?{_WORD}(?:[_-]+{_WORD})*(?:[_-]?(?:list|box|bar|area|container|wrapper|block|slot|unit|left|right|top|bottom|\d+))*", re.I)
+#: An element with a noise name stays if it holds so large a share of the page's text: it wraps the page.
+WRAPS = 0.9
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar toolbar dialog alert alertdialog".split())
 _TEXT_HOLDERS = frozenset(("html", "body", "main", "article"))
 
 
 class Node:
-    __slots__ = ("chars", "density", "items", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
+    __slots__ = ("chars", "density", "items", "link_chars", "link_tags", "named", "parent", "sum", "tag", "tags")
 
-    def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.items = tag, parent, []
+    def __init__(self, tag: str, parent: Node | None, named: int = 0):
+        self.tag, self.parent, self.items, self.named = tag, parent, [], named
 
 
 class TreeBuilder(HTMLParser):
     """A tree of what may be main text. Missing end tags are supplied; noise is skipped with all that it holds."""
 
-    def __init__(self):
+    def __init__(self, keep: Container[int] = frozenset()):
+        """keep: numbers of start tags whose class and id do not count."""
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("body", None)
         self.noise: list[str] = []
+        self.keep, self.number, self.named, self.lost = keep, 0, 0, 0
 
     def _is_noise(self, tag: str, attrs) -> bool:
         if tag in DROPPED:
@@ -86,13 +92,13 @@ class TreeBuilder(HTMLParser):
                 if name == "hidden":
                     return True
             elif name in ("class", "id"):
-                if _NOISE.search(value):
-                    return True
+                if any(_NOISE.fullmatch(x) for x in value.split()):
+                    self.named = self.number
             elif name == "role" and value.lower() in _ROLES or name == "aria-hidden" and value.lower() == "true":
                 return True
             elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-        return False
+        return self.named > 0 and self.named not in self.keep
 
     def _open(self, tags, stops) -> Node | None:
         """The nearest open element of ``tags``, none beyond one of ``stops``."""
@@ -104,6 +110,8 @@ class TreeBuilder(HTMLParser):
         return None
 
     def handle_starttag(self, tag, attrs):
+        self.number += 1
+        self.named = 0
         if self.noise:
             # An article or main text inside of noise that was never ended is looked at again.
             if tag in ("article", "main") and self.noise[0] not in ("template", "noscript", "dialog"):
@@ -126,7 +134,7 @@ class TreeBuilder(HTMLParser):
             self.at.items.append(" " if tag in BLOCKS else "")  # what it leaves is the break
             self.noise.append(tag)
         elif tag not in INLINE:
-            node = Node(tag, self.at)
+            node = Node(tag, self.at, self.named)
             self.at.items.append(node)
             self.at = node
 
@@ -152,16 +160,29 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data):
         if not self.noise:
             self.at.items.append(data)
+        elif DROPPED.isdisjoint(self.noise):
+            self.lost += len("".join(data.split()))
 
 
 def parse(html: str) -> Node:
     cut = html.rfind("<")
     if cut > html.rfind(">") and re.match(r"<[A-Za-z/!?]", html[cut : cut + 2]):
         html = html[:cut]  # a tag that the page's end broke off
-    builder = TreeBuilder()
-    builder.feed(html)
-    builder.close()
-    return builder.root
+    def built(keep: Container[int] = frozenset()) -> TreeBuilder:
+        builder = TreeBuilder(keep)
+        builder.feed(html)
+        builder.close()
+        return builder
+
+    first = built()
+    if not first.lost:
+        return first.root
+    held = measure(first.root)
+    if first.lost * (1 - WRAPS) < held[0].chars * WRAPS - 1e-9 or any(n.chars and n.tag in ("article", "main") for n in held):
+        return first.root
+    # Noise holds nearly all text and nothing is marked as the main one: what wraps the page stays, and is looked into.
+    nodes = measure(built(range(1, first.number + 1)).root)
+    return built({n.named for n in nodes if n.named and n.chars >= WRAPS * nodes[0].chars}).root
 
 
 def _ordered(root: Node) -> list[Node]:
