@@ -2,17 +2,22 @@
 
 A text is cut by the tokenizer's pattern; each distinct piece of a partition is encoded once. Encoding starts from a piece's bytes
 as tokens. Each step of the recursive query unfolds a piece's tokens into rows by position, joins each token and the
-next to the merge table, takes per piece the smallest (rank, position), and contracts that one pair; a piece without a
-pair leaves the recursion. Decoding joins tokens to the vocabulary and adds up their bytes by an ordered aggregation.
-
-A contraction a step costs time with the square of a piece's length, so pieces of more than ``LONG`` bytes (runs of one
-kind of character, which texts hold seldom) are contracted in the same order with a heap; they take no part in the cache.
+next to the merge table, and takes per piece the smallest (rank, position). If that rank is met once it contracts that one pair;
+if it is met more often, each non-overlapping occurrence from the left, which is what contracting them one by one comes to: a pair of the
+merged token and a neighbour can have a smaller rank only if the longer token doesn't come of its own bytes by merges up to its rank, and the merged
+tokens of which that holds (none in the usual vocabularies; ``Codec`` looks) are contracted one at a time. A piece without a pair leaves
+the recursion, which keeps the newest tokens of a piece only. Decoding joins tokens to the vocabulary and adds up their bytes by an ordered aggregation.
+
+Pieces are parted where two bytes stand that no token holds side by side, since no merge crosses that place. What is longer than ``WINDOW``
+bytes after that is contracted by windows: the next one begins where a token of the last one ends, and the tokens on both sides of that
+place must be what the two of them encode to. Tokens of which this holds for each two neighbours are what the whole
+encodes to: the first merge across one of their bounds would be one of the two tokens' own, too. Where it doesn't hold, the window before is given up by a token, and the next one is longer.
+So memory is bounded by bytes, whatever a piece's length.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import os
 from collections.abc import Iterable, Iterator
 
@@ -25,29 +30,49 @@ from pyspark.sql import functions as F
 
 from quiremill.llm.common import with_fields
 
-#: Bytes above which a piece is contracted with a heap.
-LONG = 256
-#: Pieces that a worker remembers at most; then it starts anew.
-CACHED = 300_000
-#: Pieces in one recursive query.
-BLOCK = 40_000
+#: Bytes that are contracted as one row.
+WINDOW = 1 << 16
+#: Bytes (of pieces) or four times as many tokens in one query.
+BLOCK = 1 << 18
+#: Tokens at a window's end that the next window reads again, since what follows may change them.
+AGAIN = 16
+#: Bytes of pieces, ids and decoded texts that a worker remembers at most; then it starts anew.
+CACHED = 24 << 20
+#: Pieces and characters that wait to be encoded together.
+WAITING = 1_000_000
 #: Characters of a text that are cut at once.
 STRETCH = 1 << 20
 
 ENCODE = """
-with recursive r(w, ts) as (
+with recursive r(w, ts) using key (w) as (
     select w, ts from pieces
-    union all
-    select r.w, list_concat(list_append(ts[:(best & 1048575) - 1], (best >> 20)::int), ts[(best & 1048575) + 2:])
-    from r join (
-        select w, min((merged::bigint << 20) | p) as best
+    union
+    (with best as materialized (
+        select w, min((merged::bigint << 28) | (one::bigint << 27) | p, 2) as m
         from (select w, unnest(ts[:-2]) as a, unnest(ts[2:]) as b, unnest(range(1, len(ts))) as p from r)
         join merges on pair = (a::bigint << 20) | b
         group by w
-    ) x on r.w = x.w
+    ), step as (
+        select w, (m[1] >> 28)::int as merged, (m[1] & 134217727)::int as p, coalesce(m[1] >> 27 = m[2] >> 27 and (m[1] >> 27) & 1 = 0, false) as more from best
+    ), hits as (
+        select w, merged, p, row_number() over (partition by w order by p) as n
+        from (select w, unnest(ts[:-2]) as a, unnest(ts[2:]) as b, unnest(range(1, len(ts))) as p from r where w in (select w from step where more))
+        join merges on pair = (a::bigint << 20) | b
+        join (select w, merged from step where more) using (w, merged)
+    ), chosen as (
+        select w, p, merged from (select w, p, merged, row_number() over (partition by w, p - n order by p) as k from hits) where k % 2 = 1
+    )
+    select r.w, list_concat(list_append(ts[:p - 1], merged), ts[p + 2:]) from r join step using (w) where not more
+    union all
+    select u.w, list(coalesce(c.merged, u.t) order by u.p)
+    from (select w, unnest(ts) as t, unnest(range(1, len(ts) + 1)) as p from r where w in (select w from step where more)) u
+    left join chosen c on c.w = u.w and c.p = u.p left join chosen d on d.w = u.w and d.p = u.p - 1
+    where d.p is null group by u.w)
 )
-select w, arg_min(ts, len(ts)) as ids from r group by w order by w
+select w, ts as ids from r order by w
 """
+#: The same with the merges up to a token's own rank, by which a row is named.
+ORDERLY = ENCODE.replace("(a::bigint << 20) | b", "(a::bigint << 20) | b and merged <= w")
 DECODE = """
 select w, string_agg(hex, '' order by p) as hex
 from (select w, unnest(ids) as id, unnest(range(len(ids))) as p from encoded) join vocabulary using (id)
@@ -58,6 +83,18 @@ group by w
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def _blocks(sizes: list[int], bound: int) -> Iterator[tuple[int, int]]:
+    """Runs of neighbours whose sizes add up to ``bound`` at most, or one that is larger."""
+    lo = total = 0
+    for i, n in enumerate(sizes):
+        if i > lo and total + n > bound:
+            yield lo, i
+            lo, total = i, 0
+        total += n
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
 class Codec:
     """Encoder and decoder over a rank file (base64 token and rank a line)."""
 
@@ -68,89 +105,115 @@ class Codec:
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})  # a block fits in memory; nothing is written to local folders
+        self.held = 0
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})  # blocks are bounded by bytes; nothing is written to local folders
         pairs, merged = [], []
+        self.together = np.zeros((256, 256), bool)
         for t, rank in self.ranks.items():
             for i in range(1, len(t)):
+                self.together[t[i - 1], t[i]] = True
                 a, b = self.ranks.get(t[:i]), self.ranks.get(t[i:])
                 if a is not None and b is not None:
                     pairs.append(a << 20 | b)
                     merged.append(rank)
-        self._table("merges", pa.table({"pair": pa.array(pairs, pa.int64()), "merged": pa.array(merged, pa.int32())}))
+        pairs, merged = np.array(pairs, np.int64), np.array(merged, np.int32)
         self._table("vocabulary", pa.table({"id": pa.array(list(self.token), pa.int32()), "hex": pa.array([t.hex() for t in self.token.values()])}))
+        # Which tokens don't come of their bytes by merges up to their rank, contracting one pair a step?
+        self._table("merges", pa.table({"pair": pairs, "merged": merged, "one": np.ones(len(pairs), bool)}))
+        tokens = sorted(self.token)
+        odd = np.array([r for r, ids in zip(tokens, self._contract([self.token[r] for r in tokens], tokens, ORDERLY), strict=True) if len(ids) > 1], np.int32)
+        inside = np.isin(merged, odd)
+        a, b = pairs[inside] >> 20, pairs[inside] & ((1 << 20) - 1)
+        alone = np.unique(np.concatenate([a[a > merged[inside]], b[b > merged[inside]]]))
+        self._table("merges", pa.table({"pair": pairs, "merged": merged, "one": np.isin(merged, alone)}))
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("incoming", rows)
         self.db.execute(f"create or replace temp table {name} as select * from incoming")
         self.db.unregister("incoming")
 
-    def _lists(self, pieces: list[bytes]) -> pa.Array:
-        ends = np.zeros(len(pieces) + 1, np.int32)
-        np.cumsum([len(p) for p in pieces], out=ends[1:])
-        return pa.ListArray.from_arrays(ends, pa.array(self.single[np.frombuffer(b"".join(pieces), np.uint8)]))
+    def _contract(self, rows: list[bytes], names: list[int] | None = None, query: str = ENCODE) -> list[np.ndarray]:
+        """Token ids of each row by the recursive query, in blocks of ``BLOCK`` bytes or one row. names: ascending."""
+        out: list[np.ndarray] = []
+        for lo, hi in _blocks([len(x) for x in rows], BLOCK):
+            ends = np.zeros(hi - lo + 1, np.int32)
+            np.cumsum([len(x) for x in rows[lo:hi]], out=ends[1:])
+            tokens = pa.array(self.single[np.frombuffer(b"".join(rows[lo:hi]), np.uint8)])
+            self._table("pieces", pa.table({"w": pa.array(names[lo:hi] if names else range(hi - lo), pa.int32()), "ts": pa.ListArray.from_arrays(ends, tokens)}))
+            ids = self.db.sql(query).to_arrow_table().column("ids").combine_chunks()
+            flat, at = np.asarray(ids.values).astype(np.int32), np.asarray(ids.offsets)
+            out += [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        return out
+
+    def _windows(self, row: bytes) -> np.ndarray:
+        """Token ids of a row longer than a window."""
+        out: list[int] = []
+        at, room = 0, WINDOW
+        while True:
+            ids = self._contract([row[at : at + room]])[0]
+            if out and len(self._contract([self.token[out[-1]] + self.token[int(ids[0])]])[0]) != 2:
+                at -= len(self.token[out.pop()])
+                room *= 2
+                continue
+            if at + room >= len(row):
+                return np.array([*out, *ids], np.int32)
+            kept = [int(x) for x in ids[:-AGAIN]] if len(ids) > AGAIN else []
+            if not kept:
+                room *= 2
+                continue
+            out += kept
+            at += sum(len(self.token[x]) for x in kept)
+            room = WINDOW
 
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each piece, by the recursive query; of a piece that is a token, that one."""
+        """Token ids of each piece; of a piece that is a token, that one. ``BLOCK`` bytes of pieces, or one, are parted at a time."""
+        return [x for lo, hi in _blocks([len(p) for p in pieces], BLOCK) for x in self._merge(pieces[lo:hi])]
+
+    def _merge(self, pieces: list[bytes]) -> list[np.ndarray]:
         out: list = [np.array([self.ranks[p]], np.int32) if p in self.ranks else None for p in pieces]
         left = [i for i, x in enumerate(out) if x is None]
-        for i in [i for i in left if len(pieces[i]) > LONG]:
-            out[i] = self._merge_long(pieces[i])
-        left = [i for i in left if out[i] is None]
-        for lo in range(0, len(left), BLOCK):
-            block = left[lo : lo + BLOCK]
-            self._table("pieces", pa.table({"w": pa.array(range(len(block)), pa.int32()), "ts": self._lists([pieces[i] for i in block])}))
-            ids = self.db.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
-            flat, ends = np.asarray(ids.values), np.asarray(ids.offsets)
-            for k, i in enumerate(block):
-                out[i] = flat[ends[k] : ends[k + 1]].astype(np.int32)
+        if not left:
+            return out
+        raw = np.frombuffer(b"".join([pieces[i] for i in left]), np.uint8)
+        first = np.concatenate([[0], np.cumsum([len(pieces[i]) for i in left])])
+        bounds = np.union1d(np.flatnonzero(~self.together[raw[:-1], raw[1:]]) + 1, first)
+        whole = raw.tobytes()
+        rows = [whole[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        short = [i for i, x in enumerate(rows) if 1 < len(x) <= WINDOW]
+        ids: list = [self.single[[x[0]]] if len(x) == 1 else None if len(x) <= WINDOW else self._windows(x) for x in rows]
+        for i, found in zip(short, self._contract([rows[i] for i in short]), strict=True):
+            ids[i] = found
+        at = np.searchsorted(bounds, first)
+        for k, i in enumerate(left):
+            out[i] = np.concatenate(ids[at[k] : at[k + 1]]) if at[k + 1] > at[k] + 1 else ids[at[k]] if at[k + 1] > at[k] else np.empty(0, np.int32)
         return out
 
-    def _merge_long(self, piece: bytes) -> np.ndarray:
-        parts: list = [bytes([b]) for b in piece]
-        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap = [(self.ranks[p], i, 2) for i in range(len(parts) - 1) if (p := parts[i] + parts[i + 1]) in self.ranks]
-        heapq.heapify(heap)
-        while heap:
-            _, i, size = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] is None or j >= len(parts) or len(parts[i]) + len(parts[j]) != size:
-                continue
-            parts[i] += parts[j]
-            parts[j] = None
-            after[i] = after[j]
-            if after[j] < len(parts):
-                before[after[j]] = i
-            for a in (before[i], i):
-                b = after[a] if a >= 0 else len(parts)
-                if b < len(parts) and (p := parts[a] + parts[b]) in self.ranks:
-                    heapq.heappush(heap, (self.ranks[p], a, len(p)))
-        return np.array([self.ranks[p] for p in parts if p is not None], np.int32)
-
     def unmerge(self, ids: list[np.ndarray]) -> list[bytes]:
-        """The bytes of each list of ids, by the ordered aggregation."""
-        out = [b""] * len(ids)
-        for lo in range(0, len(ids), BLOCK):
-            block = ids[lo : lo + BLOCK]
+        """The bytes of each list of ids, by the ordered aggregation; long lists by stretches."""
+        out: list[list[bytes]] = [[] for _ in ids]
+        parts = [(i, x[lo : lo + BLOCK]) for i, x in enumerate(ids) for lo in range(0, len(x), BLOCK)]
+        for lo, hi in _blocks([len(x) for _, x in parts], BLOCK):
+            block = [x for _, x in parts[lo:hi]]
             ends = np.zeros(len(block) + 1, np.int32)
             np.cumsum([len(x) for x in block], out=ends[1:])
-            flat = np.concatenate(block).astype(np.int32) if block else np.empty(0, np.int32)
-            self._table("encoded", pa.table({"w": pa.array(range(len(block)), pa.int32()), "ids": pa.ListArray.from_arrays(ends, pa.array(flat))}))
+            self._table("encoded", pa.table({"w": pa.array(range(len(block)), pa.int32()), "ids": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(block).astype(np.int32)))}))
             found = self.db.sql(DECODE).to_arrow_table()
-            for w, h in zip(found.column("w").to_pylist(), found.column("hex").to_pylist(), strict=True):
-                out[lo + w] = bytes.fromhex(h)
-        return out
+            text = dict(zip(found.column("w").to_pylist(), found.column("hex").to_pylist(), strict=True))
+            for k, (i, _) in enumerate(parts[lo:hi]):
+                out[i].append(bytes.fromhex(text.get(k, "")))
+        return [b"".join(x) for x in out]
 
     def _learn(self, texts: Iterable[list[str]]) -> None:
         """Encodes and decodes the pieces that are not known."""
         found = set().union(*texts)
-        new = [p for p in found if p not in self.known]
-        if len(self.known) + len(new) > CACHED:
+        if self.held > CACHED:
             self.known.clear()
-            new = found
-        pieces = sorted(new)
+            self.held = 0
+        pieces = sorted(p for p in found if p not in self.known)
         ids = self.merge([p.encode() for p in pieces])
         for p, i, b in zip(pieces, ids, self.unmerge(ids), strict=True):
             self.known[p] = (i.tobytes(), b)
+            self.held += i.nbytes + 2 * len(b) + 200
 
     def stretches(self, text: str) -> Iterator[list[str]]:
         """The text's pieces, by stretches. A stretch ends with a whole piece: its last one is cut again with what follows."""
@@ -193,8 +256,8 @@ class Codec:
         for text in texts:
             for pieces in self.stretches(text):
                 waiting.append((False, pieces))
-                held += len(pieces)
-                if held > 1_000_000:
+                held += len(pieces) + len(text) // (1 + len(text) // STRETCH) // 4
+                if held > WAITING:
                     settle()
             waiting.append((True, []))
         settle()
@@ -222,8 +285,9 @@ def _ids_array(raw: list[bytes | None]) -> pa.Array:
 def round_trip(df: DataFrame, path: str, text_col: str = "text", pattern: str = PATTERN, ids_out: str = "ids", decoded_out: str = "decoded") -> DataFrame:
     """``df`` with the token ids of each whole text (ARRAY<INT>) and the bytes that decoding them gives (BINARY).
 
-    Null and empty texts have no ids and decode to nothing. Columns named like the outputs are replaced; all others are kept as they are. Text
-    that looks like a special token is ordinary text.
+    Null and empty texts have no ids and decode to nothing. A very long text is cut by stretches and contracted by windows, so that only its ids
+    and its bytes are held as a whole. Repeated rows each get their own output; there are no ties, as the leftmost pair goes first. An empty table
+    gives no rows. Columns named like the outputs are replaced; all others are kept as they are. Text that looks like a special token is ordinary text.
     """
     rest = [c for c in df.columns if c not in (ids_out, decoded_out)]
     rows = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_row"))
