@@ -107,15 +107,16 @@ select doc_id, coalesce(max(n.n), 0)::bigint as n_shingles, min(root) as compone
 """
 ORACLES["op10_mixing"] = r"""
 with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size, (('0x' || left(md5('mix:' || doc_id), 12))::bigint + 0.5) / 281474976710656.0::double as u from documents),
+o as (select *, case when size > 0 then u / (1 - u) / size end as rank from d),
 s as (select source, sum(size)::bigint as source_size, ([3, 1, 2])[(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight from d group by source),
 l as (select *, 2.0::double * source_size as cap, (1.5::double * sum(source_size) over () - (sum(2.0::double * source_size) over o - 2.0::double * source_size)) / (sum(weight) over () - sum(weight) over o + weight) as level
   from s window o as (order by 2.0 * source_size / weight, source nulls last rows unbounded preceding)),
 t as (select source, source_size, case when cap <= level * weight then cap else weight * max(case when cap > level * weight then level end) over () end as target from l),
 r as (select *, case when source_size > 0 then least(target / source_size, 2.0) else 0.0 end as rate from t),
 q as (select *, floor(rate)::int as certain, greatest(target - floor(rate)::int * source_size, 0.0) as rest from r),
-c as (select d.doc_id, d.source, d.size, d.u, q.source_size, q.target, q.certain, q.rest, sum(d.size) over (partition by d.source order by d.u, d.doc_id rows unbounded preceding) as upto from d join q on d.source is not distinct from q.source),
+c as (select d.doc_id, d.source, d.size, d.rank, q.source_size, q.target, q.certain, q.rest, sum(d.size) over (partition by d.source order by d.rank, d.doc_id rows unbounded preceding) as upto from o d join q on d.source is not distinct from q.source),
 m as (select *, upto <= rest as drawn, rest - max(case when upto <= rest then upto else 0 end) over (partition by source) as missing from c),
-k as (select *, row_number() over (partition by source, drawn order by abs(size - missing), u) = 1 and not drawn and abs(size - missing) < missing as closing from m),
+k as (select *, row_number() over (partition by source, drawn order by abs(size - missing), rank, doc_id) = 1 and not drawn and abs(size - missing) < missing as closing from m),
 f as (select *, case when size > 0 then least(certain + (case when rest > 0 and (drawn or closing) then 1 else 0 end), 2) else 0 end as copies from k)
 select doc_id, size, source_size, target, (copies * size)::bigint as taken, source, copies::int as copies from f
 """

@@ -356,3 +356,28 @@ def test_mixing(spark):
     key = lambda rows: sorted((r.doc_id, r.taken) for r in rows)
     assert key(got) == key(mixing.mix(df.repartition(7)).collect()) and mixing.mix(df.limit(0)).count() == 0
     assert mixing.mix(df.unionAll(df)).count() == 2 * len(got)
+
+
+def test_mixing_takes_tied_rows_one_by_one(spark):
+    rows = [(None, "w " * 10, "a")] * 600 + [(i, "w " * 11, "b") for i in range(900)] + [(7, "x " * 5, None)] * 40 + [(8, "x " * 3, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).withColumn("rid", F.lit("clash"))
+    got = mixing.mix(df, keep=["rid"]).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert r.taken <= 2 * r.size and r.rid == "clash"
+    assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= {"a": 10, "b": 11, None: 5}[s] for s in target)
+
+
+def test_mixing_ranks_by_odds_over_size(spark):
+    """Long documents are drawn once more oftener than short ones, by their odds."""
+    rng = random.Random(12)
+    rows = [(i, "w " * rng.choice([10, 100]), "a") for i in range(4000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=1.2).collect()
+    share = {n: sum(r.copies == 2 for r in got if r.size == n) / sum(r.size == n for r in got) for n in (10, 100)}
+    odds = lambda p: p / (1 - p)
+    assert 6 < odds(share[100]) / odds(share[10]) < 16
+    rank = sorted((r for r in got), key=lambda r: (lambda u: u / (1 - u) / r.size)((int(__import__("hashlib").md5(f"mix:{r.doc_id}".encode()).hexdigest()[:12], 16) + 0.5) / (1 << 48)))
+    drawn = [r.copies == 2 for r in rank]
+    assert drawn[: sum(drawn) - 1] == [True] * (sum(drawn) - 1)
