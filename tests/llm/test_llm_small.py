@@ -247,6 +247,35 @@ def test_quality(spark):
     assert quality.resample(df, labels.limit(0)).where("kept").count() == 201
 
 
+def test_quality_against_brute_force(spark, monkeypatch):
+    """Weights are sums of log ratios of counted n-grams, and the k with the largest noisy weights are kept, not the k with the largest weights."""
+    import hashlib
+    import math
+    import re
+
+    rng = random.Random(19)
+    texts = [" ".join(rng.choice(["one", "Two", "3", "four!", "five"] if i % 3 else ["one", "six", "se-ven", "Two"]) for _ in range(rng.randrange(1, 9))) for i in range(300)] + [None, "", "  ", "word " * 500]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    features = quality.Features()
+    grams = [Counter(np.concatenate([*features(t), np.empty(0, np.int64)]).tolist()) for t in texts]
+    for t, g in zip(texts, grams, strict=True):  # words once each, two grams for each pair of neighbours
+        n = len(re.findall(r"\w+|[^\w\s]+", t or ""))
+        assert sum(g.values()) == max(0, 3 * n - 2)
+    raw, target = sum(grams, Counter()), sum((grams[i] for i in range(100) if i % 3), Counter())
+    part = sum(target.values()) / sum(raw.values())
+    weight = [sum(n * math.log((target[b] + 300 * part) / (part * (raw[b] + 300))) for b, n in g.items()) if g else None for g in grams]
+    noise = [-math.log(-math.log((int(hashlib.md5(f"gumbel:{i}".encode()).hexdigest()[:12], 16) + 0.5) / (1 << 48))) for i in range(len(texts))]
+    got = {r.doc_id: r for r in quality.resample(documents(spark, texts), labels, k=120).collect()}
+    score = {i: w + e for i, (w, e) in enumerate(zip(weight, noise, strict=True)) if w is not None}
+    assert all(got[i].log_weight is None if w is None else abs(got[i].log_weight - w) < 1e-6 for i, w in enumerate(weight))
+    drawn = set(sorted(score, key=score.get)[-120:])
+    assert {i for i, r in got.items() if r.kept} == drawn != set(sorted(score, key=lambda i: weight[i])[-120:])
+    some = quality.resample(documents(spark, texts), labels).where("kept").count()
+    assert some == round(sum(min(1, math.exp(w)) for w in weight if w is not None))
+    monkeypatch.setattr(quality, "STRETCH", 7)
+    assert [Counter(np.concatenate([*features(t), np.empty(0, np.int64)]).tolist()) for t in texts] == grams
+
+
 def test_kth_largest(spark):
     rng = random.Random(10)
     xs = [rng.choice([rng.gauss(0, 1), 0.5, -1e6]) for _ in range(500)]
