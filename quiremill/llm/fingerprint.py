@@ -2,9 +2,8 @@
 
 Every shingle of ``SHINGLE`` words is hashed once, to 64 bits: the high bits name its bin, and a bin keeps its smallest
 hash. Empty bins are filled by optimal densification: bin j tries the bins h(j, 1), h(j, 2), ... and takes the first that
-has a hash. After ``PROBES`` tries it takes the filled bin q with the smallest h(j, q), which is what further tries come
-to: a filled bin drawn evenly, the same one for equal sets of filled bins. A fingerprint packs the low ``BITS`` bits of
-each bin. Of two fingerprints a share E of bins agrees, by chance a share C = 2 ** -BITS, so the likeness is
+has a hash. h(j, .) puts all bins in an order drawn at random for each j, so that the tries end, and take each filled bin
+with the same chance. A fingerprint packs the low ``BITS`` bits of each bin. Of two fingerprints a share E of bins agrees, by chance a share C = 2 ** -BITS, so the likeness is
 (E - C) / (1 - C), not below 0.
 
 Words are lower-cased. A text of fewer words than a shingle has one shingle, all its words. A text without words (null,
@@ -13,6 +12,10 @@ empty, only white space) has the empty fingerprint, which is like itself only.
 
 from __future__ import annotations
 
+import functools
+import json
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +25,8 @@ SHINGLE = 5
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 BITS = 8
-PROBES = 8
+#: Tries are made in stretches that end here; a text with many filled bins seldom needs the second.
+STRETCHES = (8, 40, BINS)
 _SHIFT = 64 - BIN_BITS
 _LOW = (1 << _SHIFT) - 1
 
@@ -32,6 +36,12 @@ def _sentinels():
     return F.array(*(F.lit((b << _SHIFT | _LOW) - (1 << 64 if b >= BINS // 2 else 0)).cast("long") for b in range(BINS)))
 
 
+@functools.cache
+def probes() -> str:
+    """The order in which each bin tries the others, as JSON: rows of numbers of bins."""
+    return json.dumps([np.random.default_rng([29, j]).permutation(BINS).tolist() for j in range(BINS)])
+
+
 def _empty(x):
     return x.bitwiseAND(F.lit(_LOW)) == F.lit(_LOW)
 
@@ -50,13 +60,12 @@ def with_bins(df: DataFrame, text, out: str, size: int = SHINGLE) -> DataFrame:
     bin_of = lambda x: F.shiftrightunsigned(x, _SHIFT)
     first = F.filter("_s", lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get("_s", i - 1))))
     df = df.select(*keep, "_any", first.alias("_d"))
-    filled = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda j: ~_empty(F.get("_d", j)))
-    df = df.select(*keep, "_any", "_d", filled.alias("_f"))
+    order = F.from_json(F.lit(probes()), "array<array<int>>")
 
     def settled(x, j):
-        tries = F.transform(F.sequence(F.lit(1), F.lit(PROBES)), lambda t: F.get("_d", F.pmod(F.xxhash64(j, t), F.lit(BINS)).cast("int")))
-        drawn = F.array_min(F.transform(F.col("_f"), lambda q: F.struct(F.xxhash64(j, F.lit(-1), q).alias("h"), F.get("_d", q).alias("v"))))["v"]
-        return F.when(~_empty(x), x).otherwise(F.coalesce(F.get(F.filter(tries, lambda v: ~_empty(v)), F.lit(0)), drawn))
+        spans = zip((0, *STRETCHES), STRETCHES, strict=False)
+        tries = [F.get(F.filter(F.slice(F.get(order, j), lo + 1, hi - lo), lambda q: ~_empty(F.get("_d", q))), F.lit(0)) for lo, hi in spans]
+        return F.when(~_empty(x), x).otherwise(F.get("_d", F.coalesce(*tries)))
 
     packed = F.transform("_d", lambda x, j: (settled(x, j).bitwiseAND(F.lit((1 << BITS) - 1)) - (1 << BITS - 1)).cast("tinyint"))
     return df.select(*keep, F.when(F.col("_any"), packed).otherwise(F.array().cast("array<tinyint>")).alias(out))
@@ -95,7 +104,7 @@ def next_keys(rows: DataFrame) -> DataFrame:
 def fingerprints_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The edited text is the text with its last floor(n_chars / 2) code points replaced by the first as many (or all) of
+    Whole texts are read, however long: a row holds its text, its words' hashes and its bins. The edited text is the text with its last floor(n_chars / 2) code points replaced by the first as many (or all) of
     the next document's by descending id; null ids come last. Null texts count as empty. Rows with one id are ordered by a hash of
     their texts; rows that are equal in both are one document to their neighbours, and each gets a row. A lone document
     is its own next one. Other columns of ``df`` are ignored.
