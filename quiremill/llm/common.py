@@ -19,9 +19,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where that is unset, a temporary one in local mode, as in tests; on a cluster no folder of one machine will do."""
     found = spark.conf.get("spark.checkpoint.dir", None) or getattr(shared_dir, "own", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         found = shared_dir.own = tempfile.mkdtemp(prefix="quiremill-")
     return found
 
@@ -39,6 +41,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/quiremill/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ours that nothing reads any more."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of finished phases: it acts when the driver's JVM drops their handles."""
     gc.collect()

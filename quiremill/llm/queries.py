@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiremill.llm import bpe, embed_dedup, fingerprint, html_text, license_scan, mixing, ngram_join, quality, sharding, url_filter
-from quiremill.llm.common import shared_path
+from quiremill.llm.common import shared_dir
 from quiremill.sources.tables import read
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -46,9 +48,14 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints_with_next(read(spark, sf_dir, "documents"))
 
 
+def slot_map_path(spark: SparkSession, sf_dir: str, n_shards: int = 16) -> str:
+    """Where the map of a table is kept: the same path in each run, in the shared folder."""
+    return f"{shared_dir(spark)}/quiremill/slot-map-{n_shards}-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in 16 shards under a stored slot map; law ``bytes``."""
-    found = sharding.shard(read(spark, sf_dir, "documents"), shared_path(spark, "slot-map"), 16)
+    """All documents in 16 shards under the slot map kept for this table, which is edited where it isn't even any more; law ``bytes``."""
+    found = sharding.shard(read(spark, sf_dir, "documents"), slot_map_path(spark, sf_dir), 16)
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 

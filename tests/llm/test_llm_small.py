@@ -227,11 +227,34 @@ def test_sharding(spark):
     new = sharding.grown_map(old, loads)
     moved = {s for s in old if old[s] != new[s]}
     assert moved and all(new[s] == 8 for s in moved)
+    again = sharding.shard(df, path, 8)
+    assert sorted((r.doc_id, r.shard) for r in again.collect()) == sorted((r.doc_id, r.shard) for r in got)
+    assert sharding.load_map(spark, path).first().version == 0
     sharding.store_map(spark, sharding.map_rows(new, loads, 1), path)
     assert sharding.load_map(spark, path).select("version").distinct().collect()[0][0] == 1
     assert sharding.shard(df.limit(0), shared_path(spark, "map"), 8).count() == 0
 
 
+def test_sharding_edits_its_map(spark):
+    """More rows of one kind: few slots move, and the newest version is what later runs load. Rows repeated often and null ids are numbered without gaps."""
+    rng = random.Random(18)
+    df = spark.createDataFrame([(i, "x" * rng.randrange(1, 400)) for i in range(3000)] + [(None, "y" * rng.randrange(1, 90)) for _ in range(300)] + [(7, "same")] * 400, "doc_id long, text string").repartition(9)
+    path = shared_path(spark, "map")
+    first = {(r.doc_id, r.size, r.text_crc32): r.shard for r in sharding.shard(df, path, 8).collect()}
+    heavy = [s for s in range(8)]
+    more = spark.createDataFrame([(i, "z" * (3000 if i % 3 else 10)) for i in range(10_000, 10_400)], "doc_id long, text string")
+    got = sharding.shard(df.unionAll(more), path, 8).collect()
+    held, places = Counter(), defaultdict(list)
+    for r in got:
+        held[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert len(got) == 4100 and all(sorted(p) == list(range(len(p))) for p in places.values()) and sorted(held) == heavy
+    assert max(held.values()) < 1.02 * min(held.values())
+    assert sharding.load_map(spark, path).first().version == 1 and sharding.load_map(spark, path, 0).count() > 0
+    stayed = sum(first[k] == r.shard for r in got if (k := (r.doc_id, r.size, r.text_crc32)) in first)
+    assert stayed > 0.7 * 3700
+
+
 # 7
 
 
