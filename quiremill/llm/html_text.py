@@ -4,16 +4,19 @@ Every element gets its characters C, tags T, link characters LC and link tags LT
 where it divides. Its density is C / T * log(C / LC * T / LT) to the base ln(C / (C - LC) * LC + LCb / Cb * C + e), with
 LCb and Cb of the body: text with few tags is dense, text in links is not. An element's density sum adds up its
 children's. Tags that mark up words (bold, spans) are part of their parent's text. The element with the largest sum is the content; the smallest density on its path to the body is the
-threshold, and elements elsewhere that reach it give their own largest-sum element. Elements that are never main text (scripts,
-menus, forms, adverts, reader comments, by tag, role or whole class name) leave the tree before that, but a name doesn't
-count on an element that holds nearly all text of the page.
+threshold, and elements elsewhere that reach it give their own largest-sum element.
+
+What is never main text leaves the page first. Elements whose tag or role says so (scripts, menus, forms, footers) leave it as it is read.
+Elements with a noise name as a whole class or id leave it once densities are known: one that holds an article or main element with text stays, and so
+does one whose name may be a layout's as well (``MAYBE``) if it holds the densest element and most of the page's text, where no article or main element
+holds text elsewhere. A page of which nothing would be left keeps these, then all of its elements.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Container, Iterator
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -46,36 +49,36 @@ ENDS = {
 }
 #: An end tag does not close elements beyond these.
 SCOPES = frozenset("table td th body html".split())
-#: Names (of a class or id) whose element is no main text: noise words alone or together, or with words of place.
-_WORD = (
-    r"(?:ads?|adverts?|advertisement|advertising|adslot|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|"
-    r"sidebar|side-?bar|widget|aside|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|header|footer|copyright|legal|"
-    r"comments?|commentlist|disqus|respond|replies|reply|share|sharing|social|related|recommended|recommendations|outbrain|taboola|tags?|tagcloud|skip-?link|search|searchbox)"
+#: Names (of a class or id) of noise, alone or together, or with words of place: of layout's parts, which a page may give to what holds its text as well, and of others.
+_MAYBE = r"sidebar|side-?bar|widget|aside|menu|nav|navbar|navigation|toolbar|masthead|topbar|header|footer|banner|notices?|alert|promo(?:tion)?"
+_SURE = (
+    r"ads?|adverts?|advertisement|advertising|adslot|adsense|sponsor(?:ed)?|outbrain|taboola|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|breadcrumbs?|pagination|pager|skip-?link|"
+    r"comments?|commentlist|disqus|respond|replies|reply"
 )
+_WORD = rf"(?:{_MAYBE}|{_SURE})"
 _PLACE = r"(?:site-?|page-?|(?:main|global|top|bottom|left|right|primary|secondary)[_-])"
-_NOISE = re.compile(rf"{_PLACE}?{_WORD}(?:[_-]+{_WORD})*(?:[_-]?(?:list|box|bar|area|container|wrapper|block|slot|unit|left|right|top|bottom|\d+))*", re.I)
-#: An element with a noise name stays if it holds so large a share of the page's text: it wraps the page.
-WRAPS = 0.9
+_TAIL = r"(?:[_-]?(?:list|box|bar|area|container|wrapper|block|slot|unit|left|right|top|bottom|\d+))*"
+_NOISE = re.compile(rf"{_PLACE}?{_WORD}(?:[_-]+{_WORD})*{_TAIL}", re.I)
+_UNSURE = re.compile(rf"{_PLACE}?(?:{_MAYBE})(?:[_-]+(?:{_MAYBE}))*{_TAIL}", re.I)
+SURE, MAYBE = 2, 1
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar toolbar dialog alert alertdialog".split())
 _TEXT_HOLDERS = frozenset(("html", "body", "main", "article"))
 
 
 class Node:
-    __slots__ = ("chars", "density", "items", "link_chars", "link_tags", "named", "parent", "sum", "tag", "tags")
+    __slots__ = ("chars", "density", "items", "link_chars", "link_tags", "noise", "parent", "sum", "tag", "tags")
 
-    def __init__(self, tag: str, parent: Node | None, named: int = 0):
-        self.tag, self.parent, self.items, self.named = tag, parent, [], named
+    def __init__(self, tag: str, parent: Node | None, noise: int = 0):
+        self.tag, self.parent, self.items, self.noise = tag, parent, [], noise
 
 
 class TreeBuilder(HTMLParser):
-    """A tree of what may be main text. Missing end tags are supplied; noise is skipped with all that it holds."""
+    """A tree of what may be main text. Missing end tags are supplied; what tag or role make noise is skipped with all that it holds, what a name makes noise is marked."""
 
-    def __init__(self, keep: Container[int] = frozenset()):
-        """keep: numbers of start tags whose class and id do not count."""
+    def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("body", None)
         self.noise: list[str] = []
-        self.keep, self.number, self.named, self.lost = keep, 0, 0, 0
 
     def _is_noise(self, tag: str, attrs) -> bool:
         if tag in DROPPED:
@@ -88,17 +91,21 @@ class TreeBuilder(HTMLParser):
         if tag in _TEXT_HOLDERS:
             return False
         for name, value in attrs:
-            if not value:
-                if name == "hidden":
-                    return True
-            elif name in ("class", "id"):
-                if any(_NOISE.fullmatch(x) for x in value.split()):
-                    self.named = self.number
-            elif name == "role" and value.lower() in _ROLES or name == "aria-hidden" and value.lower() == "true":
+            if name == "hidden" and (value or "").lower() != "until-found":
+                return True
+            if value and (name == "role" and value.lower() in _ROLES or name == "aria-hidden" and value.lower() == "true"):
                 return True
-            elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            if value and name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-        return self.named > 0 and self.named not in self.keep
+        return False
+
+    @staticmethod
+    def _named(tag: str, attrs) -> int:
+        """Whether a name makes the element noise: 0, MAYBE or SURE."""
+        if tag in _TEXT_HOLDERS:
+            return 0
+        names = [x for name, value in attrs if name in ("class", "id") and value for x in value.split() if _NOISE.fullmatch(x)]
+        return 0 if not names else MAYBE if all(map(_UNSURE.fullmatch, names)) else SURE
 
     def _open(self, tags, stops) -> Node | None:
         """The nearest open element of ``tags``, none beyond one of ``stops``."""
@@ -110,8 +117,6 @@ class TreeBuilder(HTMLParser):
         return None
 
     def handle_starttag(self, tag, attrs):
-        self.number += 1
-        self.named = 0
         if self.noise:
             # An article or main text inside of noise that was never ended is looked at again.
             if tag in ("article", "main") and self.noise[0] not in ("template", "noscript", "dialog"):
@@ -133,8 +138,8 @@ class TreeBuilder(HTMLParser):
         elif self._is_noise(tag, attrs):
             self.at.items.append(" " if tag in BLOCKS else "")  # what it leaves is the break
             self.noise.append(tag)
-        elif tag not in INLINE:
-            node = Node(tag, self.at, self.named)
+        elif tag not in INLINE or self._named(tag, attrs):
+            node = Node(tag, self.at, self._named(tag, attrs))
             self.at.items.append(node)
             self.at = node
 
@@ -160,29 +165,61 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data):
         if not self.noise:
             self.at.items.append(data)
-        elif DROPPED.isdisjoint(self.noise):
-            self.lost += len("".join(data.split()))
 
 
 def parse(html: str) -> Node:
+    """The page's tree with named noise in it."""
     cut = html.rfind("<")
     if cut > html.rfind(">") and re.match(r"<[A-Za-z/!?]", html[cut : cut + 2]):
         html = html[:cut]  # a tag that the page's end broke off
-    def built(keep: Container[int] = frozenset()) -> TreeBuilder:
-        builder = TreeBuilder(keep)
-        builder.feed(html)
-        builder.close()
-        return builder
-
-    first = built()
-    if not first.lost:
-        return first.root
-    held = measure(first.root)
-    if first.lost * (1 - WRAPS) < held[0].chars * WRAPS - 1e-9 or any(n.chars and n.tag in ("article", "main") for n in held):
-        return first.root
-    # Noise holds nearly all text and nothing is marked as the main one: what wraps the page stays, and is looked into.
-    nodes = measure(built(range(1, first.number + 1)).root)
-    return built({n.named for n in nodes if n.named and n.chars >= WRAPS * nodes[0].chars}).root
+    builder = TreeBuilder()
+    builder.feed(html)
+    builder.close()
+    return builder.root
+
+
+def _path(node: Node | None) -> Iterator[Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def without_noise(root: Node) -> Node:
+    """The tree without named noise; see the module's text for what stays."""
+    nodes = measure(root)
+    if not any(n.noise and n.chars for n in nodes):
+        return root
+    best = {id(n) for n in _path(max(nodes, key=lambda n: n.sum))}
+    clean: dict[int, int] = {}  # characters outside of named noise below
+    for n in reversed(nodes):
+        clean[id(n)] = n.chars - sum(x.chars if x.noise else x.chars - clean[id(x)] for x in n.items if isinstance(x, Node))
+    under: dict[int, bool] = {}
+    for n in nodes:
+        under[id(n)] = n.noise > 0 or n.parent is not None and under[id(n.parent)]
+    marked = [n for n in nodes if n.tag in ("article", "main") and clean[id(n)]]
+    free = any(not under[id(n)] for n in marked)
+    holders: set[int] = set()
+    for n in marked:
+        for x in _path(n):
+            if id(x) in holders:
+                break
+            holders.add(id(x))
+
+    def stays(n: Node, level: int) -> bool:
+        if not n.noise or id(n) in holders or level > n.noise:
+            return True
+        return n.noise == MAYBE and not free and id(n) in best and 2 * n.chars > root.chars
+
+    for level in (0, SURE, SURE + 1):
+        gone: dict[int, bool] = {}
+        for n in nodes:
+            gone[id(n)] = n.parent is not None and gone[id(n.parent)] or not stays(n, level)
+        if any(isinstance(x, str) and x.strip() for n in nodes if not gone[id(n)] for x in n.items):
+            break
+    for n in nodes:
+        if not gone[id(n)]:
+            n.items = [" " if isinstance(x, Node) and gone[id(x)] else x for x in n.items]
+    return root
 
 
 def _ordered(root: Node) -> list[Node]:
@@ -282,12 +319,16 @@ def main_text(html: str | None) -> str:
     """The main text of one page; empty for null, empty pages and pages without text."""
     if not html:
         return ""
-    root = parse(html)
+    root = without_noise(parse(html))
     return text_of(root, content(root))
 
 
 def extract(df: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
-    """``df`` with column ``out``, the main text of each whole page, in place of ``html_col``. Rows and other columns are kept as they are; a column named ``out`` is replaced."""
+    """``df`` with column ``out``, the main text of each whole page, in place of ``html_col``.
+
+    Null and empty pages, and those without text, have an empty text. A worker holds one page's tree at a time, however long the page is, and a page nested deeply needs no deep stack. Of elements with
+    equal density sums the first on the page counts. Rows (repeated ones, too) and other columns are kept as they are; a column named ``out`` is replaced; an empty table gives no rows.
+    """
     rest = [c for c in df.columns if c not in (html_col, out)]
     rows = df.select(F.col(html_col).cast("string").alias("_html"), F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_row"))
     kept = rows.schema["_row"]
