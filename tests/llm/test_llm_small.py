@@ -115,6 +115,17 @@ def test_embeddings_against_brute_force(spark):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_in_double_precision(spark):
+    """A pair whose cosine is below the threshold in double precision and at it in single; vectors of other lengths, null ids, huge and tiny components."""
+    e = 1e-9
+    at = lambda c: [c, (1 - c * c) ** 0.5, 0.0]
+    rows = [(1, [1.0, 0.0, 0.0], 0), (2, at(0.93 - e), 0), (3, [1e200, 0.0, 0.0], 1), (4, [x * 1e-200 for x in at(0.94)], 1), (5, [1.0, 0.0], 0), (6, [2.0, 0.0], 0), (None, [0.0, 0.0, 1.0], 2), (None, [0.0, 0.0, 1.0], 2), (9, [0.0, 0.1, 1.0], 2)]
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    links = {r.vec_id: (r.n_links, r.component_id) for r in got if r.vec_id is not None}
+    assert links == {1: (0, 1), 2: (0, 2), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (1, 5), 9: (2, 9)}
+    assert [(r.n_links, r.component_id, r.kept) for r in got if r.vec_id is None] == [(2, 9, False)] * 2
+
+
 def test_components_of_a_long_chain(spark):
     pairs = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(7, 7), (500, 400), (400, 500)], "u long, v long")
     got = {r.node: r.component for r in components.components(pairs).collect()}
