@@ -6,7 +6,10 @@ import gc
 import json
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -57,6 +60,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+#: Schema of counts that travel by blocks: a few rows a task, whatever the number of counters.
+BLOCKS = "block int, counts binary"
+
+
+def packed(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """Rows (block, counts) of whole numbers of 64 bits."""
+    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array([c.tobytes() for c in counts.values()], pa.binary())], names=["block", "counts"])
+
+
+def added(blocks: DataFrame) -> DataFrame:
+    """The sums of all rows of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found[block] = found.get(block, 0) + np.frombuffer(counts.as_buffer(), np.int64)
+        yield packed(found)
+
+    return blocks.repartition("block").mapInArrow(run, BLOCKS)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of finished phases: it acts when the driver's JVM drops their handles."""
     gc.collect()
@@ -81,6 +106,15 @@ def small(df: DataFrame, rows: int | None = None, bound: int = BROADCAST_ROWS) -
     return F.broadcast(df) if (df.count() if rows is None else rows) <= bound else df
 
 
+def with_small(rows: DataFrame, few: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
+    """Inner join on ``key`` with a table of one row a key: broadcast if it is small enough, else dealt by a salt of ``by`` too, so that no key's rows are one task's."""
+    n = few.count()
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(few), key)
+    dealt = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(by, F.lit("salt")), F.lit(salts)).cast("int")).join(dealt, [key, "_salt"]).drop("_salt")
+
+
 def ascii_lower(column):
     """A-Z lower-cased, all else kept."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

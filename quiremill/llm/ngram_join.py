@@ -10,11 +10,14 @@ A differing bit needs a shingle that only one set has, so the Hamming distance i
 one bit at most. Of that block's three words two are equal: blocks are joined on each two of their words. No partner
 within d can be missed.
 
-Nodes that share a key form a run. First each node is verified against one centre, the least node of a run with which it shares
+Nodes that share a key form a run. Keys are counted first, by cells, so that those of heavy cells are dealt into ``SALTS`` runs each, whose centres are made one afterwards: no
+task gets more of a run than its share. First each node is verified against one centre, the least node of a run with which it shares
 most keys; the links make classes. Two nodes of a run are both in the group of the run's centre. Groups that still hold
 several classes are compared by larger sketches, in tiles of bounded size; the nodes whose Hamming distance to one of another class
 allows a link meet again in their tiles with their texts, and a tile gives the links that join its classes, never
-its pairs. Verification counts the whole sets of whole texts.
+its pairs. Tiles are bounded by rows and by shingles. Verification counts the whole sets of whole texts.
+
+Shingles, sets and keys are hashed to 64 bits. Keys only find candidates; two sets with one hash would be taken for one, of which the chance is n * n / 2 ** 65 for n sets.
 """
 
 from __future__ import annotations
@@ -29,13 +32,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import checkpointed, release
+from quiremill.llm.common import BLOCKS, added, checkpointed, packed, release, small, with_small
 from quiremill.llm.components import components
 
 SHINGLE = 4
 NUM, DEN = 85, 100
 RATIO = 1.3
 TILE = 512
+#: Shingles of a tile's part, on average at most; their hashes and texts take some 16 bytes each.
+TILE_SHINGLES = 500_000
+#: Cells in which keys are counted, and runs into which a key of a heavy cell is dealt. A cell is heavy above twice the mean and ``HEAVY``.
+CELLS, CELL_BLOCK = 1 << 16, 1 << 12
+SALTS = 64
+HEAVY = 1000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -181,37 +190,95 @@ def _sets(size: int):
     return run
 
 
-def _keys(size: int, num: int, den: int):
+def _each_keys(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, keys) of the batches' sets; copies within a task give their keys once."""
+    shingles, seen = Shingler(size), set()
+    for batch in batches:
+        for text in batch.column(0):
+            s = shingles(text.as_py())
+            if len(s) and (node := node_of(s)) not in seen:
+                seen.add(node)
+                yield node, sketch_keys(s, num, den)
+
+
+def _cell(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+
+
+def _counts(size: int, num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, waiting, held = np.zeros(CELLS, np.int64), [], 0
+        for _, k in _each_keys(batches, size, num, den):
+            waiting.append(k)
+            held += len(k)
+            if held > 200_000:
+                counts += np.bincount(_cell(np.concatenate(waiting)), minlength=CELLS)
+                waiting, held = [], 0
+        if held:
+            counts += np.bincount(_cell(np.concatenate(waiting)), minlength=CELLS)
+        yield packed(dict(enumerate(counts.reshape(-1, CELL_BLOCK))))
+
+    return run
+
+
+def heavy_cells(docs: DataFrame, size: int, num: int, den: int) -> np.ndarray:
+    """Which cells hold so many keys that some key of theirs may be shared by very many nodes."""
+    counts = np.zeros((CELLS // CELL_BLOCK, CELL_BLOCK), np.int64)
+    for r in added(docs.select("text").mapInArrow(_counts(size, num, den), BLOCKS)).collect():  # CELLS / CELL_BLOCK rows at most
+        counts[r.block] += np.frombuffer(r.counts, np.int64)
+    counts = counts.ravel()
+    return counts > max(2 * counts.mean(), HEAVY)
+
+
+#: A run's name: a key with its last bit cleared; of a heavy key moved by its salt, with the last bit set.
+_MOVE = np.uint64(0xB5026F5AA96619E8)
+
+
+def _salt(node: np.ndarray) -> np.ndarray:
+    return (_mix(node.view(np.uint64)) % np.uint64(SALTS) + np.uint64(1)) * _MOVE
+
+
+def run_names(key: np.ndarray, node: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    plain = key.view(np.uint64) & ~np.uint64(1)
+    return np.where(heavy[_cell(key)], plain + _salt(node) | np.uint64(1), plain).view(np.int64)
+
+
+def key_of(run: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The key (but for its last bit) of a run of a heavy one."""
+    return ((run.view(np.uint64) & ~np.uint64(1)) - _salt(node)).view(np.int64)
+
+
+def _keys(size: int, num: int, den: int, heavy: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingler(size), set()
         keys, nodes, held = [], [], 0
-        for batch in batches:
-            for text in batch.column(0):
-                s = shingles(text.as_py())
-                if not len(s) or (node := node_of(s)) in seen:
-                    continue  # copies within a task give their keys once
-                seen.add(node)
-                k = sketch_keys(s, num, den)
-                keys.append(k)
-                nodes.append(np.full(len(k), node, np.int64))
-                held += len(k)
-                if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["key", "node"])
-                    keys, nodes, held = [], [], 0
+
+        def full():
+            node = np.concatenate(nodes)
+            return pa.RecordBatch.from_arrays([pa.array(run_names(np.concatenate(keys), node, heavy)), pa.array(node)], names=["run", "node"])
+
+        for node, k in _each_keys(batches, size, num, den):
+            keys.append(k)
+            nodes.append(np.full(len(k), node, np.int64))
+            held += len(k)
+            if held > 200_000:
+                yield full()
+                keys, nodes, held = [], [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["key", "node"])
+            yield full()
 
     return run
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by key and node: rows of runs of two nodes or more, with the run's least node as centre; streamed, whatever a run's length."""
-    last_key = last_node = centre = None
+    """Over rows sorted by run and node: rows of runs of two nodes or more, with the run's least node as centre; streamed, whatever a run's length. Runs of heavy keys are given even if they have one node, with their key."""
+    last_run = last_node = centre = None
     told = True
     for batch in batches:
         key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if last_key is not None:
-            key, node = np.concatenate([[last_key], key]), np.concatenate([[last_node], node])
+        if not len(key):
+            continue
+        if last_run is not None:
+            key, node = np.concatenate([[last_run], key]), np.concatenate([[last_node], node])
         begins = np.ones(len(key), bool)
         begins[1:] = key[1:] != key[:-1]
         again = np.zeros(len(key), bool)
@@ -219,19 +286,23 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = np.maximum.accumulate(np.where(begins, np.arange(len(key)), 0))
         c = node[start].copy()
         skip = np.zeros(len(key), bool)
-        if last_key is not None:
+        if last_run is not None:
             c[start == 0] = centre
             skip[0] = True
         member = ~begins & ~again & ~skip
-        # The centre's own row is told when the first other member turns up.
-        firsts = np.unique(start[member])
-        own = firsts if last_key is None else np.array([s for s in firsts if s != 0 or not told], np.int64)
+        heavy = key & 1 == 1
+        # The centre's own row is told when the first other member turns up; that of a heavy key at once.
+        firsts = np.unique(start[member & ~heavy])
+        own = firsts if last_run is None else np.array([s for s in firsts if s != 0 or not told], np.int64)
+        own = np.union1d(own, np.flatnonzero(begins & heavy & ~skip)).astype(np.int64)
         at = np.flatnonzero(member)
         if len(at) or len(own):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key[own], key[at]])), pa.array(np.concatenate([c[own], node[at]])), pa.array(np.concatenate([c[own], c[at]]))], names=["key", "node", "centre"])
-        same = start[-1] == 0 and last_key is not None
+            rows, nodes = np.concatenate([own, at]), np.concatenate([c[own], node[at]])
+            h = heavy[rows]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(c[rows]), pa.array(np.where(h, key_of(key[rows], nodes), 0), mask=~h)], names=["node", "centre", "heavy"])
+        same = start[-1] == 0 and last_run is not None
         told = (told if same else False) or bool(member[start == start[-1]].any())
-        last_key, last_node, centre = key[-1], node[-1], c[-1]
+        last_run, last_node, centre = key[-1], node[-1], c[-1]
 
 
 def _verified(size: int, num: int, den: int):
@@ -381,8 +452,8 @@ def _node_texts(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame
 def similar_classes(df: DataFrame, size: int = SHINGLE, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
     """One row per row of ``df``: id, n_shingles (size of its set) and component_id (smallest id reachable by links, itself included).
 
-    Null and empty texts and those without words have no shingles and link with nothing. Rows with one set are linked,
-    repeated rows among them; rows that share an id are each classed by their own text. Null ids never give a class its
+    Null and empty texts and those without words have no shingles and link with nothing. Very long texts are hashed by stretches, as a whole. Rows with one set are linked,
+    repeated rows among them; of centres that tie in shared keys the least node counts, which no result depends on; rows that share an id are each classed by their own text. Null ids never give a class its
     name unless all its ids are null. An empty table gives no rows; other columns are ignored.
     """
     spark = df.sparkSession
@@ -396,8 +467,11 @@ def similar_classes(df: DataFrame, size: int = SHINGLE, num: int = NUM, den: int
     reps, sketches = nodes.select("node", "rep"), nodes.select("node", "n", "sketch")
 
     # Runs of nodes that share a key, and the first links.
-    keyed = docs.select("text").mapInArrow(_keys(size, num, den), "key long, node long")
-    runs = checkpointed(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_runs, "key long, node long, centre long"))
+    keyed = docs.select("text").mapInArrow(_keys(size, num, den, heavy_cells(docs, size, num, den)), "run long, node long")
+    found = checkpointed(keyed.repartition("run").sortWithinPartitions("run", "node").mapInArrow(_runs, "node long, centre long, heavy long"))
+    tops = checkpointed(found.where("heavy is not null").groupBy("heavy").agg(F.min("centre").alias("top")))
+    dealt = found.where("heavy is not null").join(small(tops), "heavy").select("node", F.col("top").alias("centre"))
+    runs = found.where("heavy is null").select("node", "centre").unionAll(dealt)
     release(spark)
     best = runs.where("node <> centre").groupBy("node", "centre").count().groupBy("node").agg(F.max(F.struct("count", (-F.col("centre")).alias("c"))).alias("b"))
     first = checkpointed(best.select((-F.col("b.c")).alias("u"), F.col("node").alias("v")))
@@ -410,9 +484,11 @@ def similar_classes(df: DataFrame, size: int = SHINGLE, num: int = NUM, den: int
 
     # What is left: two nodes of one run that are still in different classes. Runs of one centre are one group: both nodes are in it.
     group = runs.select("centre", "node").distinct()
-    labelled = checkpointed(group.join(classes, "node", "left").select("centre", "node", F.coalesce("component", "node").alias("label")))
-    split = labelled.groupBy("centre").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("members")).where("a <> b").select("centre", F.ceil(F.col("members") / tile).cast("int").alias("parts"))
-    rows = labelled.join(split, "centre").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    labels = nodes.select("node", "n").join(classes, "node", "left").select("node", "n", F.coalesce("component", "node").alias("label"))
+    labelled = checkpointed(group.join(labels, "node").select("centre", "node", "label", "n"))
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / tile, F.sum("n") / TILE_SHINGLES)).cast("int")
+    split = labelled.groupBy("centre").agg(F.min("label").alias("a"), F.max("label").alias("b"), parts.alias("parts")).where("a <> b").select("centre", "parts")
+    rows = with_small(labelled, checkpointed(split), "centre", "node").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("centre", (F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).cast("long").alias("tile"), "node", "label", "part", (F.col("part") != F.col("other")).cast("int").alias("cross"))
     tiled = rows.join(sketches, "node").select("centre", "tile", "node", "label", "part", "cross", "n", "sketch").repartition("centre", "tile").sortWithinPartitions("centre", "tile")
     flagged = checkpointed(tiled.mapInArrow(_flagged(num, den), "centre long, tile long, node long, label long, part int, cross int"))

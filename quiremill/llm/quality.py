@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import checkpointed
+from quiremill.llm.common import BLOCKS, added, checkpointed, packed
 
 #: Labelled good documents that are used at most.
 SAMPLE = 20_000
@@ -89,11 +89,6 @@ def stretches(text: str) -> Iterator[str]:
         at = end
 
 
-def _packed(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
-    """Rows (block, counts): raw and target counts of a block's buckets."""
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array([c.tobytes() for c in counts.values()], pa.binary())], names=["block", "counts"])
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts per bucket over a task's rows (text, good): raw and target."""
     features, raw, target = Features(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -107,15 +102,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     else:
                         counts += c
     both = np.stack([raw.reshape(-1, BLOCK), target.reshape(-1, BLOCK)], 1)
-    yield _packed({i: both[i] for i in range(len(both)) if both[i].any()})
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found[block] = found.get(block, 0) + np.frombuffer(counts.as_buffer(), np.int64)
-    yield _packed(found)
+    yield packed({i: both[i] for i in range(len(both)) if both[i].any()})
 
 
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", quality_col: str = "quality") -> DataFrame:
@@ -135,8 +122,7 @@ def log_ratio(raw: np.ndarray, target: np.ndarray, prior: float = PRIOR) -> np.n
 def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     """The log ratio of each bucket. docs: (id, text). Counts travel by blocks, BUCKETS / BLOCK rows a task."""
     flagged = docs.join(F.broadcast(sample.withColumn("good", F.lit(True))), "id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))  # SAMPLE rows of an id and a flag
-    kind = "block int, counts binary"
-    blocks = flagged.mapInArrow(_counted, kind).repartition("block").mapInArrow(_added, kind)
+    blocks = added(flagged.mapInArrow(_counted, BLOCKS))
     both = np.zeros((BUCKETS // BLOCK, 2, BLOCK))
     for r in blocks.collect():  # BUCKETS / BLOCK rows at most
         both[r.block] += np.frombuffer(r.counts, np.int64).reshape(2, BLOCK)

@@ -444,3 +444,24 @@ def test_mixing_ranks_by_odds_over_size(spark):
     rank = sorted((r for r in got), key=lambda r: (lambda u: u / (1 - u) / r.size)((int(__import__("hashlib").md5(f"mix:{r.doc_id}".encode()).hexdigest()[:12], 16) + 0.5) / (1 << 48)))
     drawn = [r.copies == 2 for r in rank]
     assert drawn[: sum(drawn) - 1] == [True] * (sum(drawn) - 1)
+
+
+def test_runs_of_heavy_keys(spark, monkeypatch):
+    """Dealing heavy keys into runs of their own changes no result; centres of a key's runs become one."""
+    rng = np.random.default_rng(23)
+    keys, nodes = rng.integers(-(1 << 62), 1 << 62, 50), rng.integers(-(1 << 62), 1 << 62, 400)
+    k, n = np.repeat(keys, 8), nodes
+    run = ngram_join.run_names(k, n, np.ones(ngram_join.CELLS, bool))
+    assert (ngram_join.key_of(run, n) == k & ~1).all() and (run & 1 == 1).all()
+    assert (ngram_join.run_names(k, n, np.zeros(ngram_join.CELLS, bool)) == k & ~1).all()
+    words = [prose(random.Random(24), 60).split() for _ in range(3)]
+    texts = []
+    for i in range(90):
+        w = list(words[i % 3])
+        w[(7 * i) % 60] = f"new{i}"
+        texts.append(" ".join(w))
+    df = documents(spark, texts)
+    want = sorted(tuple(r) for r in ngram_join.similar_classes(df, tile=8).collect())
+    monkeypatch.setattr(ngram_join, "HEAVY", 0)
+    monkeypatch.setattr(ngram_join, "heavy_cells", lambda *a: np.ones(ngram_join.CELLS, bool))
+    assert sorted(tuple(r) for r in ngram_join.similar_classes(df, tile=8).collect()) == want and len({r[2] for r in want}) < 90
