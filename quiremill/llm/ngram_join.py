@@ -185,7 +185,7 @@ def _sets(size: int):
         shingles = Shingler(size)
         for batch in batches:
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), batch.column(2), pa.array([parity(s) if len(s) else None for s in sets], pa.binary())], names=["id", "n", "node", "h", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), batch.column(2), pa.array([parity(s) if len(s) else None for s in sets], pa.binary()), *batch.columns[3:]], names=["id", "n", "node", "h", "sketch", "key"][: 5 + batch.num_columns - 3])
 
     return run
 
@@ -456,10 +456,29 @@ def similar_classes(df: DataFrame, size: int = SHINGLE, num: int = NUM, den: int
     repeated rows among them; of centres that tie in shared keys the least node counts, which no result depends on; rows that share an id are each classed by their own text. Null ids never give a class its
     name unless all its ids are null. An empty table gives no rows; other columns are ignored.
     """
+    out = classes_of(df, size, num, den, id_col, text_col, tile)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def representatives(df: DataFrame, key: str, size: int = SHINGLE, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
+    """(id, ``key``, rows) of what stays if one row of each class does: the one with the least id, then the least key; null ids come last. Rows of one id and key are one here, and ``rows`` says how many they are.
+
+    Rows without words are in no class and all stay; of them, rows is 1.
+    """
+    out = classes_of(df, size, num, den, id_col, text_col, tile, key)
+    alone = out.where("class is null").select("id", "key").distinct().withColumn("rows", F.lit(1).cast("long"))
+    one = F.struct(F.col("id").isNull().alias("null"), "id", "key")
+    counted = out.where("class is not null").groupBy("class", "id", "key").agg(F.count(F.lit(1)).alias("rows"))
+    kept = counted.groupBy("class").agg(F.min_by("rows", one).alias("rows"), F.min(one).alias("r")).select("r.id", "r.key", "rows")
+    return kept.unionByName(alone).select(F.col("id").alias(id_col), F.col("key").alias(key), "rows")
+
+
+def classes_of(df: DataFrame, size: int, num: int, den: int, id_col: str, text_col: str, tile: int, key: str | None = None) -> DataFrame:
+    """id, n, class (null without words), component_id (least id of the class), and ``key`` as key if one is given (a long)."""
     spark = df.sparkSession
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.col(key).alias("key")] if key else [])).withColumn("h", F.xxhash64("text"))
     kind = dict(docs.dtypes)["id"]
-    slim = checkpointed(docs.select("id", "text", "h").mapInArrow(_sets(size), f"id {kind}, n long, node long, h long, sketch binary"))
+    slim = checkpointed(docs.select("id", "text", "h", *(["key"] if key else [])).mapInArrow(_sets(size), f"id {kind}, n long, node long, h long, sketch binary" + (", key long" if key else "")))
 
     known = F.struct(F.col("id").isNull().alias("null"), "id", "h")
     nodes = slim.where("node is not null").groupBy("node").agg(F.min(known).alias("rep"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
@@ -500,7 +519,7 @@ def similar_classes(df: DataFrame, size: int = SHINGLE, num: int = NUM, den: int
         classes = components(links.unionAll(more))
 
     named = reps.join(classes, "node", "left").select("node", F.col("rep.id").alias("rep"), F.coalesce("component", "node").alias("class"))
+    # A class is named by its least id; nulls come last.
     least = named.groupBy("class").agg(F.min("rep").alias("component_id"))
-    named = checkpointed(named.join(least, "class").select("node", "component_id"))
-    out = slim.join(named, "node", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    named = checkpointed(named.join(least, "class").select("node", "class", "component_id"))
+    return slim.select("id", "n", "node", *(["key"] if key else [])).join(named, "node", "left").drop("node")
