@@ -4,7 +4,8 @@ A softmax regression over the presence of word 1- to 3-grams tells licence famil
 apart. It is trained here, on the driver, from notices of each family in varied wordings, made-up licences, and a bounded
 sample of the corpus's own paragraphs as prose. A temperature fitted on held-out variants calibrates its probabilities, and
 the unknown class takes licence text of which no family reaches the probability that held-out variants of known families reach.
-A predicted family is confirmed if a notice of it shares enough word pairs with the passage; else the passage is unknown too.
+A predicted family is confirmed by its templates (notices by which works state it, SPDX tags, and the texts of licences or of their usual headers): one must give enough of its word pairs to the passage,
+or hold enough of the passage's, as a window of a long text does. A notice of a few words must also end where a sentence or line does. Else the passage is unknown too.
 
 Texts are read twice: line by line, for notices of one line, and by paragraphs (lines up to one without words) for those that
 are wrapped. What has more than ``WINDOW`` words is read in windows of so many words that overlap by half, so that a notice
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,16 @@ from quiremill.llm.common import with_fields
 
 PROSE, OTHER, UNKNOWN = "prose", "other", "unknown"
 WINDOW = 40
-#: Documents whose paragraphs serve as prose in training, at most; taken by a hash of their ids.
+#: Documents whose lines serve as prose in training, at most; taken by a hash of their ids.
 SAMPLE = 400
-#: Share of a notice's word pairs that a passage must hold.
-CONFIRMED = 0.6
+#: Lines of each of them, at most, evenly spread over its first ``SAMPLE_CHARS`` characters. These bound the training sample only.
+SAMPLE_LINES, SAMPLE_CHARS = 4, 20_000
+#: A template of fewer words is compared with where sentences end; a passage of fewer words is not known by being part of a template.
+FEW, PART = 5, 10
+#: Share of a notice's word pairs that a passage must hold. Similarities that differ by ``SAME`` at most are alike.
+CONFIRMED, SAME = 0.6, 0.005
+#: From here on templates tell the family, and the classifier whether it is a known one.
+PLAIN = 0.9
 SPAN = "array<struct<paragraph: int, start: int, `end`: int, family: string, probability: double, similarity: double, predicted: string>>"
 
 #: Short notices by which works state their licence, by family.
@@ -52,7 +59,47 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "epl": ("Licensed under the Eclipse Public License 2.0.", "This program and the accompanying materials are made available under the terms of the Eclipse Public License."),
     "proprietary": ("All rights reserved.", "Copyright by the publisher. All rights reserved. No part of this publication may be reproduced without prior written permission."),
 }
+#: SPDX identifiers by family, as tags give them.
+SPDX: dict[str, tuple[str, ...]] = {
+    "mit": ("MIT",), "apache-2.0": ("Apache-2.0",), "bsd": ("BSD-2-Clause", "BSD-3-Clause"), "gpl": ("GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"), "lgpl": ("LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-or-later"),
+    "agpl": ("AGPL-3.0-only", "AGPL-3.0-or-later"), "mpl": ("MPL-2.0",), "isc": ("ISC",), "cc-by": ("CC-BY-4.0",), "cc-by-sa": ("CC-BY-SA-4.0",), "cc-by-nc": ("CC-BY-NC-4.0",), "cc-by-nd": ("CC-BY-ND-4.0",), "cc0": ("CC0-1.0",), "unlicense": ("Unlicense",), "boost": ("BSL-1.0",), "epl": ("EPL-2.0",),
+}
+_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+_GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details.
+You should have received a copy of the GNU {name} along with this program. If not, see <https://www.gnu.org/licenses/>."""
+#: Texts of licences, or the headers that files under long ones carry, by family.
+TEXTS: dict[str, str] = {
+    "mit": f"""Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+{_AS_IS} IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "gpl": _GNU.format(name="General Public License", version=3),
+    "lgpl": _GNU.format(name="Lesser General Public License", version=3),
+    "agpl": _GNU.format(name="Affero General Public License", version=3),
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "isc": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    "unlicense": """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    "boost": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so.",
+    "epl": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "cc0": "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights to this work.",
+}
+
+
+def templates(family: str) -> tuple[str, ...]:
+    """Notices, SPDX tags and text of a family."""
+    return (*NOTICES[family], *(f"SPDX-License-Identifier: {x}" for x in SPDX.get(family, ())), *((TEXTS[family],) if family in TEXTS else ()))
+
+
 _WORD = re.compile(r"\w+(?:[.-]\w+)*")
+_ENDED = re.compile(r"[^\S\n]*(?:[.,;:!?)\]}\"'*/|#>-]|\n|$)")
 _LEADS = ("", "Note: ", "This file is ", "The source code is ", "Unless stated otherwise, it is ", "Documentation is ", "Copyright 2019 the authors. ", "All content here is ")
 _TAILS = ("", " See the file for details.", " Contact us for questions.", " See LICENSE.", " Terms apply.")
 _MADE_UP = ("Licensed under the {} License.", "Released under the {} Public License, version {}.", "This work is licensed under the {} Community License.", "Use is subject to the {} licence agreement.", "Distributed under the terms of the {} Source License {}.")
@@ -63,6 +110,8 @@ _HARD_PROSE = (
     "Your driving license expired yesterday.", "She is a licensed physician.", "The restaurant lost its liquor license.", "He applied for a fishing licence in the spring.",
     "The public library opens at nine.", "The general was not pleased with the terms of peace.", "Version 2 of the plan was worse.", "A free copy of the book is on the table.", "They work under the supervision of the project lead.",
     "The source of the river lies in the common forest.", "Permission to land was refused.", "Distribution of food began at once.", "It was released under pressure from the public.", "All rights of way are closed.",
+    "All rights of the guests are reserved to the manager.", "The table was reserved, and the rights to the seats were theirs.", "Under the terms of the treaty both states may use the river without restriction.", "The terms and conditions of the peace were subject to the law of the land.",
+    "The bank provides a public service under law.", "He was granted a free hand by the general, subject to no conditions.", "The copy was made available to any person who asked.", "They may use the hall for any purpose but trade.",
 )
 
 
@@ -77,10 +126,15 @@ def grams(tokens: Sequence[str]) -> set[str]:
 def _variants(rng: random.Random, n: int) -> list[tuple[str, str]]:
     out = []
     syllables = ["ka", "lo", "mi", "ren", "tu", "vas", "pel", "dor", "si", "qua", "nex", "or"]
-    for family, notices in NOTICES.items():
-        for notice in notices:
+    for family in NOTICES:
+        for notice in templates(family):
+            long = notice.split()
             for _ in range(n):
                 t = notice
+                if len(long) > WINDOW:  # as windows of a long text are
+                    at = rng.randrange(len(long) - WINDOW + 1)
+                    out.append((" ".join(long[at : at + WINDOW]), family))
+                    continue
                 if rng.random() < 0.3:
                     t = t.replace("License", rng.choice(["Licence", "license", "LICENSE"]))
                 t = rng.choice(_LEADS) + t + rng.choice(_TAILS)
@@ -107,18 +161,18 @@ class Model:
         known = sorted(set().union(*(grams(words(t)) for t, c in train if c != PROSE)))
         self.index = {g: i for i, g in enumerate(known)}
         x, y = self._matrix([t for t, _ in train]), np.array([self.classes.index(c) for _, c in train])
-        w = np.zeros((len(known) + 1, len(self.classes)))
-        target = np.eye(len(self.classes))[y]
+        w = np.zeros((len(known) + 1, len(self.classes)), np.float32)
+        target = np.eye(len(self.classes), dtype=np.float32)[y]
         share = 1 / np.bincount(y, minlength=len(self.classes)).clip(1)[y]  # classes weigh alike
-        share = (share / share.sum())[:, None]
+        share = (share / share.sum()).astype(np.float32)[:, None]
         move = np.zeros_like(w)
         for _ in range(steps):
             p = self._softmax(x @ w)
-            move = 0.9 * move + x.T @ ((p - target) * share) + 1e-6 * w
-            w -= 8.0 * move
-        self.w = w
+            move = np.float32(0.9) * move + x.T @ ((p - target) * share) + np.float32(1e-6) * w
+            w -= np.float32(8.0) * move
+        self.w = w.astype(np.float64)
         hx, hy = self._matrix([t for t, _ in held]), np.array([self.classes.index(c) for _, c in held])
-        z = hx @ w
+        z = (hx @ w).astype(np.float64)
         rows = np.arange(len(hy))
         losses = [(-np.log(self._softmax(z / t)[rows, hy].clip(1e-12)).mean(), t) for t in np.geomspace(0.25, 4, 33)]
         self.temperature = min(losses)[1]
@@ -126,11 +180,11 @@ class Model:
         right = (p.argmax(1) == hy) & (hy > 1)
         self.accuracy = float((p.argmax(1) == hy).mean())
         self.least = float(np.quantile(p[rows, hy][right], 0.02)) if right.any() else 0.5
-        self.pairs = {c: [(frozenset(zip(t, t[1:], strict=False)), len(t)) for t in map(words, n)] for c, n in NOTICES.items()}
+        self.pairs = {c: [(frozenset(zip(t, t[1:], strict=False)), tuple(t)) for t in map(words, templates(c))] for c in NOTICES}
         self.words = frozenset(g for g in known if " " not in g)
 
     def _matrix(self, texts: Sequence[str]) -> np.ndarray:
-        x = np.zeros((len(texts), len(self.index) + 1), np.float64)
+        x = np.zeros((len(texts), len(self.index) + 1), np.float32)
         for i, t in enumerate(texts):
             self._fill(x[i], words(t))
         return x
@@ -146,12 +200,24 @@ class Model:
         e = np.exp(z - z.max(-1, keepdims=True))
         return e / e.sum(-1, keepdims=True)
 
-    def similarity(self, family: str, tokens: Sequence[str]) -> float:
+    def similarity(self, family: str, tokens: Sequence[str], ended: Callable[[int], bool] = lambda i: True) -> float:
+        """The most that a template and the passage hold of each other's word pairs. ended: does a sentence or line end after the i-th word?"""
         own = set(zip(tokens, tokens[1:], strict=False))
-        return max(len(p & own) / max(1, len(p)) for p, _ in self.pairs[family])
+        best = 0.0
+        for pairs, template in self.pairs[family]:
+            if len(template) < FEW:
+                n = len(template)
+                best = max(best, float(any(tuple(tokens[i : i + n]) == template and ended(i + n - 1) for i in range(len(tokens) - n + 1))))
+                continue
+            both = len(pairs & own)
+            best = max(best, both / max(1, len(pairs)), both / max(1, len(own)) if len(tokens) >= PART else 0.0)
+        return best
 
-    def judge(self, tokens: Sequence[str]) -> tuple[str, float, float, str] | None:
-        """(family or unknown, probability, similarity, predicted class) of a passage; None for prose."""
+    def judge(self, tokens: Sequence[str], ended: Callable[[int], bool] = lambda i: True) -> tuple[str, float, float, str, tuple[str, ...]] | None:
+        """(family or unknown, probability, similarity, predicted class, families) of a passage; None for prose.
+
+        families: those whose templates confirm it about as well as the best one. Licences of one kind share whole sentences, so there may be several; then the family is open here.
+        """
         # Without known words a passage has the features of every other such passage, which is prose.
         if self.words.isdisjoint(tokens):
             return None
@@ -161,12 +227,19 @@ class Model:
         if k == 0:
             return None
         c = self.classes[k]
-        if c == OTHER:
-            return UNKNOWN, float(p[k]), 0.0, c
-        near = self.similarity(c, tokens)
-        return c if p[k] >= self.least and near >= CONFIRMED else UNKNOWN, float(p[k]), near, c
-
-    def _windows(self, tokens: Sequence[tuple[str, int, int, int]], wrapped: bool = False) -> list[dict]:
+        near = {self.classes[i]: self.similarity(self.classes[i], tokens, ended) for i in range(2, len(p))}
+        best = max(near.values(), default=0.0)
+        fits = tuple(f for f, x in near.items() if x >= max(CONFIRMED, best - SAME))
+        if not fits:
+            return UNKNOWN, float(p[k]), near.get(c, 0.0), c, ()
+        # A passage that is part of a template need not say of which family it is: then it counts how surely it is of a known one.
+        sure = float(p[2:].sum() if best >= PLAIN else sum(p[self.classes.index(f)] for f in fits))
+        named = fits[0] if len(fits) == 1 or c not in fits else c
+        if sure < self.least:
+            return UNKNOWN, sure, near[named], c, ()
+        return named if len(fits) == 1 else UNKNOWN, sure, best, named, fits
+
+    def _windows(self, tokens: Sequence[tuple[str, int, int, int]], text: str, wrapped: bool = False) -> list[dict]:
         """Passages of (word, start, end, line) by windows; ``wrapped`` leaves out windows of one line. Of overlapping windows that name one family the likelier stays."""
         out, last = [], None
         step = WINDOW if len(tokens) <= WINDOW else WINDOW // 2
@@ -174,12 +247,13 @@ class Model:
             part = tokens[lo : lo + WINDOW]
             if wrapped and part[0][3] == part[-1][3]:
                 continue
-            found = self.judge([t[0] for t in part])
+            found = self.judge([t[0] for t in part], lambda i, part=part: _ENDED.match(text, part[i][2]) is not None)
             if found is None:
                 continue
-            span = {"paragraph": part[0][3], "start": part[0][1], "end": part[-1][2], "family": found[0], "probability": found[1], "similarity": found[2], "predicted": found[3]}
-            if last is not None and last["predicted"] == span["predicted"] and span["start"] < last["end"]:
-                if (span["family"] != UNKNOWN, span["similarity"], span["probability"]) > (last["family"] != UNKNOWN, last["similarity"], last["probability"]):
+            span = {"paragraph": part[0][3], "start": part[0][1], "end": part[-1][2], "family": found[0], "probability": found[1], "similarity": found[2], "predicted": found[3], "fits": found[4]}
+            if last is not None and span["start"] < last["end"] and (last["predicted"] == span["predicted"] or set(last["fits"]) & set(span["fits"])):
+                rank = lambda x: (x["family"] != UNKNOWN, bool(x["fits"]), x["similarity"], x["probability"])
+                if rank(span) > rank(last):
                     out[-1] = span
             else:
                 out.append(span)
@@ -202,16 +276,16 @@ class Model:
         text = text or ""
 
         def close() -> None:
-            own = [x for line in lines for x in self._windows(line)]
+            own = [x for line in lines for x in self._windows(line, text)]
             if len(lines) > 1:
                 tokens = [t for line in lines for t in line]
-                wide = self._windows(tokens, wrapped=True)
+                wide = self._windows(tokens, text, wrapped=True)
                 for x in sorted(wide, key=lambda x: (x["family"] == UNKNOWN, x["start"])):
                     over = [y for y in own if y["start"] < x["end"] and x["start"] < y["end"]]
+                    if x["family"] != UNKNOWN:
+                        own = [y for y in own if y["family"] != UNKNOWN or y["fits"] or y not in over or not self._part_of(x["family"], words(text[y["start"] : y["end"]]))]
                     if x["family"] == UNKNOWN and over or any(y["family"] == x["family"] for y in over):
                         continue
-                    if x["family"] != UNKNOWN:
-                        own = [y for y in own if y["family"] != UNKNOWN or y not in over or not self._part_of(x["family"], words(text[y["start"] : y["end"]]))]
                     own.append(x)
             out.extend(sorted(own, key=lambda x: (x["start"], x["end"])))
             lines.clear()
@@ -224,21 +298,44 @@ class Model:
                 close()
             at += len(line) + 1
         close()
-        return out
+        return self._settled(out)
 
+    @staticmethod
+    def _settled(spans: list[dict]) -> list[dict]:
+        """A passage that fits several families is of that one of them which the nearest passage with a family names; overlapping ones of one family are one. What fits several and stays open is unknown."""
+        named = [x for x in spans if x["family"] != UNKNOWN]
+        for x in spans:
+            near = [y for y in named if y["family"] in x["fits"]]
+            if x["family"] == UNKNOWN and near:
+                x["family"] = min(near, key=lambda y: abs(y["start"] - x["start"]))["family"]
+        out: list[dict] = []
+        for x in spans:
+            if out and x["start"] < out[-1]["end"] and x["family"] == out[-1]["family"] and x["family"] != UNKNOWN:
+                if x["similarity"] > out[-1]["similarity"]:
+                    out[-1] = x
+            else:
+                out.append(x)
+        return [{k: v for k, v in x.items() if k != "fits"} for x in out]
 
-def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """A model with paragraphs of ``sample`` documents at most as prose; lines that speak of licences or rights are no prose."""
+
+def train(docs: DataFrame, sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES, sample_chars: int = SAMPLE_CHARS, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """A model with ``sample_lines`` lines of each of ``sample`` documents at most as prose; lines that speak of licences or rights are no prose. Null ids and texts are left out, an id gives one text."""
     rows = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     ids = rows.select("id").distinct().orderBy(F.md5("id"), "id").limit(sample)
-    # One text an id, so that SAMPLE texts reach the driver at most; a long one gives its first paragraphs.
-    picked = rows.join(F.broadcast(ids), "id").groupBy("id").agg(F.min(F.left("text", F.lit(20_000))).alias("text")).orderBy("id").collect() if sample else []
-    lines = [x for r in picked for x in r.text.split("\n") if x.strip() and not re.search(r"licen[cs]|copyright|rights|public|permission|creative commons", x, re.I)]
-    return Model([" ".join(x.split()[:WINDOW]) for x in lines][: 4 * sample])
+    picked = rows.join(F.broadcast(ids), "id").groupBy("id").agg(F.min(F.left("text", F.lit(sample_chars))).alias("text")).orderBy("id").collect() if sample else []
+    prose = []
+    for r in picked:
+        lines = [x for x in r.text.split("\n") if x.strip() and not re.search(r"licen[cs]|copyright|rights|public|permission|creative commons", x, re.I)]
+        prose += [" ".join(lines[i * len(lines) // sample_lines].split()[:WINDOW]) for i in range(min(sample_lines, len(lines)))] if len(lines) > sample_lines else [" ".join(x.split()[:WINDOW]) for x in lines]
+    return Model(prose)
 
 
 def scan(df: DataFrame, model: Model, text_col: str = "text", out: str = "licenses") -> DataFrame:
-    """``df`` with column ``out``: the licence passages of each whole text. Null and empty texts have none; other columns are kept, one named ``out`` is replaced."""
+    """``df`` with column ``out``: the licence passages of each whole text.
+
+    Null and empty texts have none. Very long texts are read by windows, as a whole; of families that tie in probability the first in ``NOTICES`` counts. Repeated rows each get their own
+    passages; an empty table gives no rows. Other columns are kept, one named ``out`` is replaced.
+    """
     rest = [c for c in df.columns if c not in (out, text_col)]
     rows = df.select(F.col(text_col).alias("_text"), F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_row"))
     schema = with_fields(rows.schema["_row"], f"`{out}` {SPAN}")
