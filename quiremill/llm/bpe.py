@@ -37,7 +37,7 @@ BLOCK = 1 << 18
 #: Tokens at a window's end that the next window reads again, since what follows may change them.
 AGAIN = 16
 #: Bytes of pieces, ids and decoded texts that a worker remembers at most; then it starts anew.
-CACHED = 24 << 20
+CACHED = 96 << 20
 #: Pieces and characters that wait to be encoded together.
 WAITING = 1_000_000
 #: Characters of a text that are cut at once.
@@ -76,7 +76,7 @@ ORDERLY = ENCODE.replace("(a::bigint << 20) | b", "(a::bigint << 20) | b and mer
 DECODE = """
 select w, string_agg(hex, '' order by p) as hex
 from (select w, unnest(ids) as id, unnest(range(len(ids))) as p from encoded) join vocabulary using (id)
-group by w
+group by w order by w
 """
 
 #: From GPT-2's published tokenizer: the pattern that cuts text before merges.
@@ -197,10 +197,11 @@ class Codec:
             ends = np.zeros(len(block) + 1, np.int32)
             np.cumsum([len(x) for x in block], out=ends[1:])
             self._table("encoded", pa.table({"w": pa.array(range(len(block)), pa.int32()), "ids": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(block).astype(np.int32)))}))
-            found = self.db.sql(DECODE).to_arrow_table()
-            text = dict(zip(found.column("w").to_pylist(), found.column("hex").to_pylist(), strict=True))
+            hexes = self.db.sql(DECODE).to_arrow_table().column("hex").combine_chunks().cast(pa.large_string())
+            at, buffer = np.frombuffer(hexes.buffers()[1], np.int64, len(block) + 1) // 2, hexes.buffers()[2]
+            raw = bytes.fromhex(buffer.to_pybytes()[: 2 * int(at[-1])].decode())
             for k, (i, _) in enumerate(parts[lo:hi]):
-                out[i].append(bytes.fromhex(text.get(k, "")))
+                out[i].append(raw[at[k] : at[k + 1]])
         return [b"".join(x) for x in out]
 
     def _learn(self, texts: Iterable[list[str]]) -> None:

@@ -8,7 +8,8 @@ band and for each above that may hold a partner, so that every pair meets in the
 A band's sketch has ceil((d + 1) / 2) blocks of three words of 64 bits; each shingle flips the bit that its hash names.
 A differing bit needs a shingle that only one set has, so the Hamming distance is at most d, and some block differs in
 one bit at most. Of that block's three words two are equal: blocks are joined on each two of their words. No partner
-within d can be missed. Two words with few bits set say little, and unrelated sets would share them: up to ``LOW`` bits the third word joins the key, as it is and with each of its bits
+within d can be missed. A set smaller than its band's largest is further from none of its partners than a smaller d, so that more blocks differ in one bit at most; of those
+beyond one, half may be left out by either of two partners, and a set leaves out blocks with the fewest bits. Two words with few bits set say little, and unrelated sets would share them: up to ``LOW`` bits the third word joins the key, as it is and with each of its bits
 cleared, since the partner's differs in one bit at most. Where no bit is left at all the key is joined by each of a set's least shingles, of which similar sets share one: the n - ceil(J * n) + 1 least ones of n.
 A set with ``SURE`` blocks of two bits or more goes without these last keys: at most two differences fall on a block on average, so that each block differs in one bit at most with a probability
 of 0.4 (less those that say nothing), and none of 48 with 1e-10.
@@ -50,6 +51,7 @@ TILE_SHINGLES = 500_000
 CELLS, CELL_BLOCK = 1 << 16, 1 << 12
 SALTS = 64
 HEAVY = 1000
+PART = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -166,7 +168,10 @@ def sketch_keys(h: np.ndarray, num: int = NUM, den: int = DEN, ratio: float = RA
         blocks = (d + 2) // 2
         at = ((h >> np.uint64(32)) * np.uint64(3 * blocks)) >> np.uint64(32)
         w = _flips(h, at.astype(np.int64), 3 * blocks).reshape(blocks, 3)
-        tag = ((np.arange(blocks, dtype=np.uint64) << np.uint64(20)) | np.uint64(band << 2))[:, None] | np.arange(3, dtype=np.uint64)
+        spare = (blocks - difference(n, min(int(highs[band]), n * den // num), num, den) // 2 - 1) // 2
+        kept = np.argsort(np.bitwise_count(w).sum(1), kind="stable")[spare:] if spare > 0 else np.arange(blocks)
+        w = w[kept]
+        tag = ((kept.astype(np.uint64) << np.uint64(20)) | np.uint64(band << 2))[:, None] | np.arange(3, dtype=np.uint64)
         first, second, third = w[:, [0, 0, 1]].ravel(), w[:, [1, 2, 2]].ravel(), w[:, [2, 1, 0]].ravel()
         keys = _mix(_mix(first + tag.ravel() * _ODD) + second)
         bits = np.bitwise_count(first) + np.bitwise_count(second)
@@ -250,11 +255,12 @@ def _counts(size: int, num: int, den: int):
 
 
 def heavy_cells(docs: DataFrame, size: int, num: int, den: int) -> np.ndarray:
-    """Which cells hold so many keys that some key of theirs may be shared by very many nodes."""
+    """Which cells hold so many keys that some key of theirs may be shared by very many nodes, as one of ``PART`` texts, by their hash, says. Runs depend on it for their size only: no result does."""
     counts = np.zeros((CELLS // CELL_BLOCK, CELL_BLOCK), np.int64)
-    for r in added(docs.select("text").mapInArrow(_counts(size, num, den), BLOCKS)).collect():  # CELLS / CELL_BLOCK rows at most
+    part = docs.where(F.pmod(F.xxhash64("text", F.lit("part")), F.lit(PART)) == 0)
+    for r in added(part.select("text").mapInArrow(_counts(size, num, den), BLOCKS)).collect():  # CELLS / CELL_BLOCK rows at most
         counts[r.block] += np.frombuffer(r.counts, np.int64)
-    counts = counts.ravel()
+    counts = counts.ravel() * PART
     return counts > max(2 * counts.mean(), HEAVY)
 
 
