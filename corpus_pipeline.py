@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiremill.llm import bpe, mixing, ngram_join, quality
-from quiremill.llm.common import checkpointed, delete, shared_path
+from quiremill.llm.common import checkpointed, delete, release, shared_path
 from quiremill.llm.queries import RANKS
 from quiremill.sources.tables import read
 
@@ -40,6 +40,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates (five words, Jaccard 0.8): the one with the smallest id (null ids last, ties by hash); rows equal in all columns are one. Documents without words all stay."""
+    release(spark)  # what the stage before shuffled
     rows, key = _keyed(docs)
     kept = checkpointed(ngram_join.representatives(rows, key, size=5, num=80, den=100))
     columns = [rows[c] for c in docs.columns]
