@@ -20,8 +20,10 @@ from quiremill.limits import DEFAULT, Limits
 
 TEXT = StringType()
 BLOCK = ArrayType(StructType().add("kind", TEXT).add("text", TEXT).add("section", TEXT).add("label", TEXT).add("locator", TEXT))
-_SKIP = frozenset(("script", "style", "noscript", "svg", "template"))
-_BREAK = frozenset("p div section article header footer nav main aside li ul ol table tr td th h1 h2 h3 h4 h5 h6 br blockquote pre figure figcaption title".split())
+# Elements whose text is no run, those that end a run, and the beginnings of the names of wanted meta tags.
+_SKIP = frozenset("script style noscript svg template head nav footer form select button iframe".split())
+_BREAK = frozenset("p div section article li td th tr h1 h2 h3 h4 h5 h6 blockquote dd dt figcaption br table ul ol main span".split())
+_META = ("citation_", "dc.", "og:", "prism.", "twitter:description")
 #: The start of a run by which repeats are known.
 SAME_START = 200
 
@@ -29,7 +31,7 @@ SAME_START = 200
 class _Runs(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.metas, self.runs, self.now, self.skip = [], [], [], 0
+        self.named, self.runs, self.now, self.skip = {}, [], [], 0
 
     def _end(self):
         line = " ".join("".join(self.now).split())
@@ -38,26 +40,34 @@ class _Runs(HTMLParser):
         self.now = []
 
     def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        if tag == "meta" and a.get("name") and a.get("content"):
-            self.metas.append(f"{a['name']}: {a['content']}")
-        self.skip += tag in _SKIP
-        if tag in _BREAK:
+        if tag == "meta":
+            a = {k: (v or "").strip() for k, v in attrs}
+            name = a.get("name") or a.get("property") or ""
+            if name.lower().startswith(_META) and a.get("content"):
+                self.named.setdefault(name, {})[a["content"]] = None
+        elif tag in _SKIP or tag in _BREAK:
             self._end()
+            self.skip += tag in _SKIP
 
     def handle_endtag(self, tag):
-        self.skip -= tag in _SKIP and self.skip > 0
-        if tag in _BREAK:
+        if tag in _SKIP:
+            self.skip = max(0, self.skip - 1)
+        elif tag in _BREAK:
             self._end()
 
     def handle_data(self, data):
         if not self.skip:
             self.now.append(data)
 
+    @property
+    def metas(self):
+        """A line for each name in order; its values once each, in theirs."""
+        return [f"{name}: {'; '.join(self.named[name])}" for name in sorted(self.named)]
+
 
 @F.pandas_udf(StructType().add("metas", ArrayType(TEXT)).add("runs", ArrayType(TEXT)))
 def html_runs(pages: pd.Series) -> pd.DataFrame:
-    """SC14. Named meta tags and text runs of pages."""
+    """SC14. Wanted meta tags and text runs of pages, menus, footers, forms and heads left out."""
     out = []
     for page in pages:
         p = _Runs()
