@@ -15,8 +15,8 @@ PAYWALL = (
     "subscribe to view", "subscription required", "this article is available to subscribers", "check access to the full text", "choose an option to locate", "already a subscriber", "one-time purchase",
 )
 PROXY_NOT_CONFIGURED = ("has not been configured for access", "attempted to view a page that has not been configured", "unknown resource")
-SSO = ("sunet id", "stanford login", "two-step authentication", "duo push", "secured by duo")
-SSO_HOSTS = ("login.stanford.edu", "idp.stanford.edu", "weblogin.stanford.edu", "duosecurity.com")
+SSO = ("two-step authentication", "duo push", "secured by duo")
+SSO_HOSTS = ("duosecurity.com",)
 LINK_RESOLVER = ("serviceerrorresponse", "could not find eid for link resolver")
 JS_CHALLENGE = ("preparing to download", "pow-o", "checking your browser", "enable javascript and cookies to continue")
 # What is not a research article, by JATS type, publication type and title.
@@ -32,13 +32,13 @@ def _any(body: Column, phrases: tuple[str, ...]) -> Column:
     return F.exists(F.array(*map(F.lit, phrases)), lambda p: F.contains(body, p))
 
 
-def denial(url: Column, content: Column) -> Column:
-    """FL10. The refusal that a page's first 200,000 characters announce, the most specific first; null for none."""
+def denial(url: Column, content: Column, sso_hosts: tuple[str, ...] = SSO_HOSTS, sso: tuple[str, ...] = SSO) -> Column:
+    """FL10. The refusal that a page's first 200,000 characters announce, the most specific first; null for none. Hosts and phrases of an institution's own sign-in pages are given by its users."""
     body = F.lower(F.regexp_replace(F.left(F.coalesce(content, F.lit("")), F.lit(DENIAL_HEAD)), r"(?U)\s+", " "))
-    host = _any(F.coalesce(url, F.lit("")), SSO_HOSTS)
+    host = _any(F.coalesce(url, F.lit("")), sso_hosts)
     return (
         F.when(_any(body, JS_CHALLENGE), "javascript_challenge").when(_any(body, PROXY_NOT_CONFIGURED), "proxy_not_configured").when(_any(body, LINK_RESOLVER), "link_resolver_error")
-        .when(host | _any(body, SSO), "session_expired").when(_any(body, PAYWALL), "paywalled")
+        .when(host | _any(body, sso), "session_expired").when(_any(body, PAYWALL), "paywalled")
     )
 
 

@@ -99,6 +99,7 @@ def claim_verdicts(verified: DataFrame) -> DataFrame:
     return r.groupBy("slug", "claim_id").agg(F.max_by("verdict", "_r").alias("verdict"), (F.max("_r") <= 4).alias("verified"), F.count(F.lit(1)).alias("evidence"))
 
 
+# Caveats and statuses by what they mean.
 BLOCKING = ("supplements_expected_but_missing", "manifest_entry_without_a_path", "main_text_thin", "landing_page_only")
 SUBSTITUTED = ("landing_page_only", "main_text_thin")
 TEXT_LOST = ("no_text_scanned_pdf", "unsupported_format", "too_large", "missing", "unreadable", "garbled_text_encoding", "parser_error")

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from quiremill import vocab
-from quiremill.limits import Limits, merged
+from quiremill.limits import Limits, overlaid
 from quiremill.operators import audit, blocks, fetch, layout, review, select, tables
 from quiremill.sources import parsers
 
@@ -230,5 +230,7 @@ def test_parsers(spark):
 
 
 def test_limits_and_config():
-    assert Limits.from_dict({"max_columns": 7, "odd": 1}).max_columns == 7
-    assert merged({"a": {"b": 1}, "c": 2}, {"a": {"d": 3}, "e": 4}) == {"a": {"b": 1, "d": 3}, "c": 2, "e": 4}
+    limits, rejected = Limits.configured({"max_columns": "7", "odd": 1, "max_sheets": "many", "max_file_mb": -1})
+    assert limits.max_columns == 7 and limits.max_sheets == Limits().max_sheets and set(rejected) == {"odd", "max_sheets", "max_file_mb"}
+    assert overlaid({"a": {"b": 1}, "c": 2}, {"a": {"d": 3}, "e": 4}) == {"a": {"b": 1, "d": 3}, "c": 2, "e": 4}
+    assert overlaid({"a": {"b": 1}}, {"a": 5}) == {"a": 5} and overlaid({"a": 1}, {"a": {"b": 2}}) == {"a": {"b": 2}} and overlaid({"a": 1}, None) == {"a": 1}
