@@ -2,8 +2,8 @@
 
 A text is cut by the tokenizer's pattern; each distinct piece of a partition is encoded once. Encoding starts from a piece's bytes
 as tokens. Each step of the recursive query unfolds a piece's tokens into rows by position, joins each token and the
-next to the merge table, and takes per piece the smallest (rank, position). If that rank is met once it contracts that one pair;
-if it is met more often, each non-overlapping occurrence from the left, which is what contracting them one by one comes to: a pair of the
+next to the merge table, and takes per piece the smallest (rank, position). Words of up to ``SHORT`` bytes contract that one pair a step (``STEP``).
+In longer rows (``ENCODE``), where a step a pair would cost the square of their length, a rank that is met once is contracted alike; one that is met more often, at each non-overlapping occurrence from the left, which is what contracting them one by one comes to: a pair of the
 merged token and a neighbour can have a smaller rank only if the longer token doesn't come of its own bytes by merges up to its rank, and the merged
 tokens of which that holds (none in the usual vocabularies; ``Codec`` looks) are contracted one at a time. A piece without a pair leaves
 the recursion, which keeps the newest tokens of a piece only. Decoding joins tokens to the vocabulary and adds up their bytes by an ordered aggregation.
@@ -43,6 +43,23 @@ WAITING = 1_000_000
 #: Characters of a text that are cut at once.
 STRETCH = 1 << 20
 
+#: Bytes of a row of which one pair is contracted a step.
+SHORT = 64
+
+STEP = """
+with recursive r(w, ts) as (
+    select w, ts from pieces
+    union all
+    select r.w, list_concat(list_append(ts[:(best & 1048575) - 1], (best >> 20)::int), ts[(best & 1048575) + 2:])
+    from r join (
+        select w, min((merged::bigint << 20) | p) as best
+        from (select w, unnest(ts[:-2]) as a, unnest(ts[2:]) as b, unnest(range(1, len(ts))) as p from r)
+        join merges on pair = (a::bigint << 20) | b
+        group by w
+    ) x on r.w = x.w
+)
+select w, arg_min(ts, len(ts)) as ids from r group by w order by w
+"""
 ENCODE = """
 with recursive r(w, ts) using key (w) as (
     select w, ts from pieces
@@ -179,10 +196,12 @@ class Codec:
         bounds = np.union1d(np.flatnonzero(~self.together[raw[:-1], raw[1:]]) + 1, first)
         whole = raw.tobytes()
         rows = [whole[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        short = [i for i, x in enumerate(rows) if 1 < len(x) <= WINDOW]
+        short = [i for i, x in enumerate(rows) if 1 < len(x) <= min(SHORT, WINDOW)]
+        long = [i for i, x in enumerate(rows) if SHORT < len(x) <= WINDOW]
         ids: list = [self.single[[x[0]]] if len(x) == 1 else None if len(x) <= WINDOW else self._windows(x) for x in rows]
-        for i, found in zip(short, self._contract([rows[i] for i in short]), strict=True):
-            ids[i] = found
+        for at, query in ((short, STEP), (long, ENCODE)):
+            for i, found in zip(at, self._contract([rows[i] for i in at], query=query), strict=True):
+                ids[i] = found
         at = np.searchsorted(bounds, first)
         for k, i in enumerate(left):
             out[i] = np.concatenate(ids[at[k] : at[k + 1]]) if at[k + 1] > at[k] + 1 else ids[at[k]] if at[k + 1] > at[k] else np.empty(0, np.int32)
