@@ -18,6 +18,8 @@ ACCESSIONS: tuple[tuple[str, str, str], ...] = (
     ("GSA", r"(?:HRA|CRA|OEP)\d{6}", STUDY), ("ProteomeXchange", r"PXD\d{6}", STUDY), ("MassIVE", r"MSV\d{9}", STUDY), ("BioStudies", r"S-BSST\d+", STUDY), ("ImmPort", r"SDY\d{3,}", STUDY),
 )
 SENTENCE_WINDOW = 400
+#: Between a letter, number or underscore of any script and something else; \b of the JVM leaves out numbers that are no digits, and from version 19 on all but ASCII.
+EDGE = r"(?:(?<![\p{L}\p{N}_])(?=[\p{L}\p{N}_])|(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_]))"
 
 
 def mentions(blocks: DataFrame, patterns: Sequence[tuple[str, str, str]] = ACCESSIONS, keep: Sequence[str] = ("slug", "index", "block_id", "section", "kind")) -> DataFrame:
@@ -25,7 +27,7 @@ def mentions(blocks: DataFrame, patterns: Sequence[tuple[str, str, str]] = ACCES
 
     One alternation finds hits; splitting at it gives the texts between them, whose lengths give positions. Patterns are a parameter.
     """
-    alternation = "|".join(rf"\b(?:{p})\b" for _, p, _ in patterns)
+    alternation = f"{EDGE}(?:{'|'.join(p for _, p, _ in patterns)}){EDGE}"
     hits = F.regexp_extract_all("text", F.lit(f"({alternation})"), F.lit(1))
     b = blocks.where(F.col("text").rlike(alternation)).withColumn("_hits", hits).withColumn("_gaps", F.split("text", alternation))
     b = b.select(*keep, "text", "_gaps", "_hits", F.posexplode("_hits").alias("nth", "accession"))
