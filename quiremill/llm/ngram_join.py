@@ -5,11 +5,11 @@ node (the hash of the set). If two sets have a Jaccard similarity of at least nu
 at most d = (den - num) * (a + b) / (den + num) for sizes a and b. Sizes are cut into bands; a node is sketched for its own
 band and for each above that may hold a partner, so that every pair meets in the band of its larger set, under one d.
 
-A band's sketch has ceil((d + 1) / 2) blocks of three words of 64 bits; each shingle flips the bit that its hash names.
-A differing bit needs a shingle that only one set has, so the Hamming distance is at most d, and some block differs in
-one bit at most. Of that block's three words two are equal: blocks are joined on each two of their words. No partner
+A band's sketch has ceil((d + 1) / 2) blocks of three words; each shingle flips one of a word's 2 ** 64 bits, the one that its hash names, and a word is held as the XOR of the hashes whose bits are set: few
+shingles fall on a word, and words of 64 bits, of which two say little with two or three bits set, would be shared by ever more unrelated sets as the corpus grows. A differing bit needs a shingle that only one
+set has, so the Hamming distance is at most d, and some block differs in one bit at most. Of that block's three words two are equal: blocks are joined on each two of their words. No partner
 within d can be missed. A set smaller than its band's largest is further from none of its partners than a smaller d, so that more blocks differ in one bit at most; of those
-beyond one, half may be left out by either of two partners, and a set leaves out blocks with the fewest bits. Two words with few bits set say little, and unrelated sets would share them: up to ``LOW`` bits the third word joins the key, as it is and with each of its bits
+beyond one, half may be left out by either of two partners, and a set leaves out blocks with the fewest bits. Two words with a bit at most say little (one passage that many documents share), and unrelated sets would share them: up to ``LOW`` bits the third word joins the key, as it is and with each of its bits
 cleared, since the partner's differs in one bit at most. Where no bit is left at all the key is joined by each of a set's least shingles, of which similar sets share one: the n - ceil(J * n) + 1 least ones of n.
 A set with ``SURE`` blocks of two bits or more goes without these last keys: at most two differences fall on a block on average, so that each block differs in one bit at most with a probability
 of 0.4 (less those that say nothing), and none of 48 with 1e-10.
@@ -127,14 +127,19 @@ class Shingler:
         return out[new]
 
 
-def _flips(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """Words of 64 bits in which each hash has flipped the bit of its low digits, in word ``at`` (ascending)."""
+def _xored(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """For each of ``size`` words the XOR of the values that fall on it; ``at``, their words, ascends."""
     words = np.zeros(size, np.uint64)
     start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    words[at[start]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), start)
+    words[at[start]] = np.bitwise_xor.reduceat(values, start)
     return words
 
 
+def _flips(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Words of 64 bits in which each hash has flipped the bit of its low digits, in word ``at`` (ascending)."""
+    return _xored(np.uint64(1) << (h & np.uint64(63)), at, size)
+
+
 def node_of(h: np.ndarray) -> int:
     """Signed 64-bit name of a set."""
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes()))))
@@ -166,34 +171,26 @@ def sketch_keys(h: np.ndarray, num: int = NUM, den: int = DEN, ratio: float = RA
         if not d:
             continue  # only equal sets link, and those are one node
         blocks = (d + 2) // 2
-        at = ((h >> np.uint64(32)) * np.uint64(3 * blocks)) >> np.uint64(32)
-        w = _flips(h, at.astype(np.int64), 3 * blocks).reshape(blocks, 3)
+        at = (((h >> np.uint64(32)) * np.uint64(3 * blocks)) >> np.uint64(32)).astype(np.int64)
+        begin = np.searchsorted(at, np.arange(3 * blocks + 1))
+        w, bits = _xored(h, at, 3 * blocks).reshape(blocks, 3), np.diff(begin).reshape(blocks, 3)
         spare = (blocks - difference(n, min(int(highs[band]), n * den // num), num, den) // 2 - 1) // 2
-        kept = np.argsort(np.bitwise_count(w).sum(1), kind="stable")[spare:] if spare > 0 else np.arange(blocks)
-        w = w[kept]
+        kept = np.argsort(bits.sum(1), kind="stable")[spare:] if spare > 0 else np.arange(blocks)
+        w, bits = w[kept], bits[kept]
         tag = ((kept.astype(np.uint64) << np.uint64(20)) | np.uint64(band << 2))[:, None] | np.arange(3, dtype=np.uint64)
-        first, second, third = w[:, [0, 0, 1]].ravel(), w[:, [1, 2, 2]].ravel(), w[:, [2, 1, 0]].ravel()
-        keys = _mix(_mix(first + tag.ravel() * _ODD) + second)
-        bits = np.bitwise_count(first) + np.bitwise_count(second)
-        few = bits <= LOW
+        keys = _mix(_mix(w[:, [0, 0, 1]].ravel() + tag.ravel() * _ODD) + w[:, [1, 2, 2]].ravel())
+        two, third = (bits[:, [0, 0, 1]] + bits[:, [1, 2, 2]]).ravel(), w[:, [2, 1, 0]].ravel()
+        few = two <= LOW
         out.append(keys[~few])
-        keys, bits, left, third = keys[few], bits[few], third[few], third[few].copy()
-        more, empty = [_mix(keys + _mix(third + _ODD))], [(bits == 0) & (third == 0)]
-        at = np.arange(len(keys))
-        while True:
-            on = left[at] != 0
-            at = at[on]
-            if not len(at):
-                break
-            bit = left[at] & (~left[at] + np.uint64(1))
-            left = left.copy()
-            left[at] ^= bit
-            rest = third[at] ^ bit
-            more.append(_mix(keys[at] + _mix(rest + _ODD)))
-            empty.append((bits[at] == 0) & (rest == 0))
-        more, empty = np.concatenate(more), np.concatenate(empty)
+        keys, two, third = keys[few], two[few], third[few]
+        word = (kept[:, None] * 3 + [2, 1, 0]).ravel()[few]
+        held = begin[word + 1] - begin[word]
+        each = np.repeat(np.arange(len(word)), held)
+        bit = h[begin[word][each] + np.arange(len(each)) - np.repeat(np.cumsum(held) - held, held)]
+        more = np.concatenate([_mix(keys + _mix(third + _ODD)), _mix(keys[each] + _mix((third[each] ^ bit) + _ODD))])
+        empty = np.concatenate([(two == 0) & (held == 0), (two[each] == 0) & (held[each] == 1)])
         out.append(more[~empty])
-        if empty.any() and (np.bitwise_count(w).sum(1) > 1).sum() < SURE:
+        if empty.any() and (bits.sum(1) > 1).sum() < SURE:
             least = h[: n - -(-num * n // den) + 1]
             out.append(_mix(np.unique(more[empty])[:, None] + least * _ODD).ravel())
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
