@@ -523,8 +523,10 @@ def classes_of(df: DataFrame, size: int, num: int, den: int, id_col: str, text_c
     dealt = found.where("heavy is not null").join(small(tops), "heavy").select("node", F.col("top").alias("centre"))
     runs = found.where("heavy is null").select("node", "centre").unionAll(dealt)
     release(spark)
-    best = runs.where("node <> centre").groupBy("node", "centre").count().groupBy("node").agg(F.max(F.struct("count", (-F.col("centre")).alias("c"))).alias("b"))
-    first = checkpointed(best.select((-F.col("b.c")).alias("u"), F.col("node").alias("v")))
+    # By node once: its centres, of which a text's keys bound the number, and the one with which it shares most keys.
+    most = F.max(F.when(F.col("node") != F.col("centre"), F.struct("count", F.bitwise_not("centre").alias("c"))))
+    met = checkpointed(runs.repartition("node").groupBy("node", "centre").count().groupBy("node").agg(most.alias("most"), F.collect_list("centre").alias("centres")))
+    first = met.where("most is not null").select(F.bitwise_not("most.c").alias("u"), F.col("node").alias("v"))
     side = lambda x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     near = first.join(side("v"), "v").join(side("u"), "u").select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(_plausible(num, den), "u long, v long")
     near = checkpointed(near)
@@ -533,9 +535,8 @@ def classes_of(df: DataFrame, size: int, num: int, den: int, id_col: str, text_c
     classes = components(links)
 
     # What is left: two nodes of one run that are still in different classes. Runs of one centre are one group: both nodes are in it.
-    group = runs.select("centre", "node").distinct()
-    labels = nodes.select("node", "n").join(classes, "node", "left").select("node", "n", F.coalesce("component", "node").alias("label"))
-    labelled = checkpointed(group.join(labels, "node").select("centre", "node", "label", "n"))
+    labels = nodes.join(classes, "node", "left").select("node", "n", F.coalesce("component", "node").alias("label"))
+    labelled = checkpointed(met.select("node", "centres").join(labels, "node").select(F.explode("centres").alias("centre"), "node", "label", "n"))
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / tile, F.sum("n") / TILE_SHINGLES)).cast("int")
     split = labelled.groupBy("centre").agg(F.min("label").alias("a"), F.max("label").alias("b"), parts.alias("parts")).where("a <> b").select("centre", "parts")
     rows = with_small(labelled, checkpointed(split), "centre", "node").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
