@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import os
+import sys
 from collections.abc import Iterable, Iterator
 
 import duckdb
@@ -36,9 +37,11 @@ WINDOW = 1 << 16
 BLOCK = 1 << 18
 #: Tokens at a window's end that the next window reads again, since what follows may change them.
 AGAIN = 16
-#: Bytes of pieces, ids and decoded texts that a worker remembers at most; then it starts anew.
-CACHED = 96 << 20
-#: Pieces and characters that wait to be encoded together.
+#: Bytes that a worker remembers of pieces, at most; then those stay that were met most often, up to half of it.
+CACHED = 64 << 20
+#: Bytes that a piece takes besides its own, its ids and its decoded text: entries of the dictionary and of the arrays, and a number.
+ENTRY = 120
+#: Pieces, and four times as many characters of new ones, that wait to be encoded together.
 WAITING = 1_000_000
 #: Characters of a text that are cut at once.
 STRETCH = 1 << 20
@@ -112,6 +115,41 @@ def _blocks(sizes: list[int], bound: int) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, one range after another."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _in_order(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of n rows, one after another, and how many each has, from parts: rows, their ids and how many these are."""
+    counts = np.zeros(n, np.int64)
+    for at, _, each in parts:
+        counts[at] = each
+    begins = np.cumsum(counts) - counts
+    out = np.empty(int(counts.sum()), np.int32)
+    for at, flat, each in parts:
+        out[_ranges(begins[at], each)] = flat
+    return out, counts
+
+
+def _binaries(flat: np.ndarray | bytes, sizes: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+
+
+class _Pieces(dict):
+    """The number of each piece that is known. One that is asked for first gets the next number and waits to be encoded."""
+
+    def __init__(self, *known):
+        super().__init__(*known)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        self.new.append(piece)
+        return n
+
+
 class Codec:
     """Encoder and decoder over a rank file (base64 token and rank a line)."""
 
@@ -121,9 +159,9 @@ class Codec:
         self.token = {i: t for t, i in self.ranks.items()}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.held = 0
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})  # blocks are bounded by bytes; nothing is written to local folders
+        self.forget()
+        # Blocks are bounded by bytes; nothing is written to local folders. What a query has freed goes back at once.
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": "", "allocator_flush_threshold": "1MB", "allocator_bulk_deallocation_flush_threshold": "1MB"})
         pairs, merged = [], []
         self.together = np.zeros((256, 256), bool)
         for t, rank in self.ranks.items():
@@ -182,58 +220,83 @@ class Codec:
             at += sum(len(self.token[x]) for x in kept)
             room = WINDOW
 
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each piece; of a piece that is a token, that one. ``BLOCK`` bytes of pieces, or one, are parted at a time."""
-        return [x for lo, hi in _blocks([len(p) for p in pieces], BLOCK) for x in self._merge(pieces[lo:hi])]
-
-    def _merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        out: list = [np.array([self.ranks[p]], np.int32) if p in self.ranks else None for p in pieces]
-        left = [i for i, x in enumerate(out) if x is None]
-        if not left:
-            return out
+    def _contract_parts(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, query: str) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of stretches of ``raw``, one after another, and how many each has; in blocks of ``BLOCK`` bytes or one stretch."""
+        flat, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for lo, hi in _blocks(sizes.tolist(), BLOCK):
+            ends = np.concatenate([[0], np.cumsum(sizes[lo:hi])])
+            tokens = pa.array(self.single[raw[_ranges(starts[lo:hi], sizes[lo:hi])]])
+            self._table("pieces", pa.table({"w": pa.array(np.arange(hi - lo, dtype=np.int32)), "ts": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), tokens)}))
+            ids = self.db.sql(query).to_arrow_table().column("ids").combine_chunks()
+            at = np.asarray(ids.offsets)
+            flat.append(np.asarray(ids.values)[at[0] : at[-1]].astype(np.int32))
+            counts.append(np.diff(at).astype(np.int64))
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all pieces, one after another, and how many each has; of a piece that is a token, that one. ``BLOCK`` bytes of pieces, or one, are parted at a time."""
+        found = [self._merge(pieces[lo:hi]) for lo, hi in _blocks([len(p) for p in pieces], BLOCK)]
+        return np.concatenate([np.empty(0, np.int32), *(x for x, _ in found)]), np.concatenate([np.empty(0, np.int64), *(x for _, x in found)])
+
+    def _merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        whole = np.fromiter((self.ranks.get(p, -1) for p in pieces), np.int32, len(pieces))
+        left = np.flatnonzero(whole < 0)
+        own = np.flatnonzero(whole >= 0)
         raw = np.frombuffer(b"".join([pieces[i] for i in left]), np.uint8)
-        first = np.concatenate([[0], np.cumsum([len(pieces[i]) for i in left])])
+        first = np.concatenate([[0], np.cumsum([len(pieces[i]) for i in left], dtype=np.int64)]).astype(np.int64)
         bounds = np.union1d(np.flatnonzero(~self.together[raw[:-1], raw[1:]]) + 1, first)
-        whole = raw.tobytes()
-        rows = [whole[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        short = [i for i, x in enumerate(rows) if 1 < len(x) <= min(SHORT, WINDOW)]
-        long = [i for i, x in enumerate(rows) if SHORT < len(x) <= WINDOW]
-        ids: list = [self.single[[x[0]]] if len(x) == 1 else None if len(x) <= WINDOW else self._windows(x) for x in rows]
-        for at, query in ((short, STEP), (long, ENCODE)):
-            for i, found in zip(at, self._contract([rows[i] for i in at], query=query), strict=True):
-                ids[i] = found
-        at = np.searchsorted(bounds, first)
-        for k, i in enumerate(left):
-            out[i] = np.concatenate(ids[at[k] : at[k + 1]]) if at[k + 1] > at[k] + 1 else ids[at[k]] if at[k + 1] > at[k] else np.empty(0, np.int32)
-        return out
-
-    def unmerge(self, ids: list[np.ndarray]) -> list[bytes]:
-        """The bytes of each list of ids, by the ordered aggregation; long lists by stretches."""
-        out: list[list[bytes]] = [[] for _ in ids]
-        parts = [(i, x[lo : lo + BLOCK]) for i, x in enumerate(ids) for lo in range(0, len(x), BLOCK)]
-        for lo, hi in _blocks([len(x) for _, x in parts], BLOCK):
-            block = [x for _, x in parts[lo:hi]]
-            ends = np.zeros(len(block) + 1, np.int32)
-            np.cumsum([len(x) for x in block], out=ends[1:])
-            self._table("encoded", pa.table({"w": pa.array(range(len(block)), pa.int32()), "ids": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(block).astype(np.int32)))}))
+        starts, sizes = bounds[:-1], np.diff(bounds)
+        one, short = np.flatnonzero(sizes == 1), np.flatnonzero((sizes > 1) & (sizes <= min(SHORT, WINDOW)))
+        long, longer = np.flatnonzero((sizes > max(1, SHORT)) & (sizes <= WINDOW)), np.flatnonzero((sizes > WINDOW) & (sizes > 1))
+        parts = [(one, self.single[raw[starts[one]]], np.ones(len(one), np.int64))]
+        parts += [(at, *self._contract_parts(raw, starts[at], sizes[at], query)) for at, query in ((short, STEP), (long, ENCODE))]
+        for i in longer:
+            ids = self._windows(raw[starts[i] : starts[i] + sizes[i]].tobytes())
+            parts.append((np.array([i]), ids, np.array([len(ids)])))
+        flat, counts = _in_order(parts, len(sizes))
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(bounds, first)]
+        return _in_order([(own, whole[own], np.ones(len(own), np.int64)), (left, flat, np.diff(ends))], len(pieces))
+
+    def unmerge(self, ids: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of lists of ids that stand one after another, by the ordered aggregation, and how many each list has; long lists by stretches."""
+        bounds = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype(np.int64)
+        cuts = np.unique(np.concatenate([bounds, *(np.arange(bounds[i], bounds[i + 1], BLOCK) for i in np.flatnonzero(counts > BLOCK))]))
+        raw, sizes = [], [np.zeros(1, np.int64)]
+        for lo, hi in _blocks(np.diff(cuts).tolist(), BLOCK):
+            lists = pa.ListArray.from_arrays(pa.array((cuts[lo : hi + 1] - cuts[lo]).astype(np.int32)), pa.array(ids[cuts[lo] : cuts[hi]].astype(np.int32)))
+            self._table("encoded", pa.table({"w": pa.array(np.arange(hi - lo, dtype=np.int32)), "ids": lists}))
             hexes = self.db.sql(DECODE).to_arrow_table().column("hex").combine_chunks().cast(pa.large_string())
-            at, buffer = np.frombuffer(hexes.buffers()[1], np.int64, len(block) + 1) // 2, hexes.buffers()[2]
-            raw = bytes.fromhex(buffer.to_pybytes()[: 2 * int(at[-1])].decode())
-            for k, (i, _) in enumerate(parts[lo:hi]):
-                out[i].append(raw[at[k] : at[k + 1]])
-        return [b"".join(x) for x in out]
-
-    def _learn(self, texts: Iterable[list[str]]) -> None:
-        """Encodes and decodes the pieces that are not known."""
-        found = set().union(*texts)
-        if self.held > CACHED:
-            self.known.clear()
-            self.held = 0
-        pieces = sorted(p for p in found if p not in self.known)
-        ids = self.merge([p.encode() for p in pieces])
-        for p, i, b in zip(pieces, ids, self.unmerge(ids), strict=True):
-            self.known[p] = (i.tobytes(), b)
-            self.held += i.nbytes + 2 * len(b) + 200
+            at, buffer = np.frombuffer(hexes.buffers()[1], np.int64, hi - lo + 1) // 2, hexes.buffers()[2]
+            raw.append(bytes.fromhex(buffer.to_pybytes()[: 2 * int(at[-1])].decode()))
+            sizes.append(np.diff(at))
+        return b"".join(raw), np.diff(np.cumsum(np.concatenate(sizes))[np.searchsorted(cuts, bounds)])
+
+    def forget(self) -> None:
+        """Drops the pieces that are known."""
+        self.known, self.uses, self.held = _Pieces(), np.zeros(0, np.int64), 0
+        self.ids, self.raw = pa.array([], pa.large_binary()), pa.array([], pa.large_binary())
+
+    def _learn(self) -> None:
+        """Encodes and decodes the pieces that wait."""
+        new, self.known.new = self.known.new, []
+        if not new:
+            return
+        flat, counts = self.merge([p.encode() for p in new])
+        raw, sizes = self.unmerge(flat, counts)
+        self.ids, self.raw = pa.concat_arrays([self.ids, _binaries(flat, 4 * counts)]), pa.concat_arrays([self.raw, _binaries(raw, sizes)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        self.held += flat.nbytes + len(raw) + sum(map(sys.getsizeof, new)) + ENTRY * len(new)
+
+    def _spare(self) -> None:
+        """Keeps the pieces that were met most often, of ``CACHED / 2`` bytes at most."""
+        least, pieces = 2, list(self.known)
+        cost = np.diff(np.frombuffer(self.ids.buffers()[1], np.int64, len(pieces) + 1)) + np.diff(np.frombuffer(self.raw.buffers()[1], np.int64, len(pieces) + 1))
+        cost += np.fromiter(map(sys.getsizeof, pieces), np.int64, len(pieces)) + ENTRY
+        while int(cost[self.uses >= least].sum()) > CACHED // 2:
+            least *= 2
+        at = np.flatnonzero(self.uses >= least)
+        self.known = _Pieces((pieces[i], k) for k, i in enumerate(at.tolist()))
+        self.ids, self.raw, self.uses, self.held = self.ids.take(pa.array(at)), self.raw.take(pa.array(at)), self.uses[at] // 2, int(cost[at].sum())
 
     def stretches(self, text: str) -> Iterator[list[str]]:
         """The text's pieces, by stretches. A stretch ends with a whole piece: its last one is cut again with what follows."""
@@ -256,31 +319,42 @@ class Codec:
 
     def round_trip(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian int32, decoded bytes) of each text."""
-        out, waiting, held = [], [], 0
+        out, parts, waiting, held = [], ([], []), [], 0
 
         def settle():
             nonlocal waiting, held
-            self._learn(p for _, p in waiting)
-            known = self.known
-            for last, pieces in waiting:
-                found = [known[p] for p in pieces]
-                parts[0].append(b"".join([x[0] for x in found]))
-                parts[1].append(b"".join([x[1] for x in found]))
-                if last:
-                    out.append((b"".join(parts[0]), b"".join(parts[1])))
-                    parts[0].clear()
-                    parts[1].clear()
+            self._learn()
+            numbers = np.concatenate([np.empty(0, np.int32), *(n for _, n in waiting)])
+            self.uses += np.bincount(numbers, minlength=len(self.uses))
+            at, before = np.cumsum([0, *(len(n) for _, n in waiting)]), len(parts[0])
+            for found, known in zip(parts, (self.ids, self.raw), strict=True):
+                taken = known.take(pa.array(numbers))
+                ends = np.frombuffer(taken.buffers()[1], np.int64, len(numbers) + 1)[at].tolist() if len(numbers) else [0] * len(at)
+                flat = memoryview(taken.buffers()[2] or b"")
+                found += [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            lo = 0
+            for hi in [before + i + 1 for i, (last, _) in enumerate(waiting) if last]:
+                out.append((b"".join(parts[0][lo:hi]), b"".join(parts[1][lo:hi])))
+                lo = hi
+            for found in parts:  # of the text that goes on
+                found[:] = map(bytes, found[lo:])
             waiting, held = [], 0
-
-        parts: tuple[list, list] = ([], [])
-        for text in texts:
-            for pieces in self.stretches(text):
-                waiting.append((False, pieces))
-                held += len(pieces) + len(text) // (1 + len(text) // STRETCH) // 4
-                if held > WAITING:
-                    settle()
-            waiting.append((True, []))
-        settle()
+            if self.held > CACHED:
+                self._spare()
+
+        try:
+            for text in texts:
+                for pieces in self.stretches(text):
+                    before = len(self.known.new)
+                    waiting.append((False, np.fromiter(map(self.known.__getitem__, pieces), np.int32, len(pieces))))
+                    held += len(pieces) + sum(map(len, self.known.new[before:])) // 4
+                    if held > WAITING:
+                        settle()
+                waiting.append((True, np.empty(0, np.int32)))
+            settle()
+        except BaseException:
+            self.forget()
+            raise
         return out
 
 
@@ -322,6 +396,7 @@ def round_trip(df: DataFrame, path: str, text_col: str = "text", pattern: str =
                 part = batch.slice(lo, hi - lo)
                 found = c.round_trip(part.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(1), _ids_array([x[0] for x in found]), pa.array([x[1] for x in found], pa.binary())], names=["_row", ids_out, decoded_out])
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, with_fields(kept, f"`{ids_out}` array<int>, `{decoded_out}` binary")).select("_row.*", ids_out, decoded_out)
 
@@ -336,7 +411,9 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
         c = codec(path)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            found = c.unmerge([np.array(x or [], np.int32) for x in ids])
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([b if x is not None else None for x, b in zip(ids, found, strict=True)], pa.binary())], names=["_row", out])
+            sizes = np.array([len(x or ()) for x in ids], np.int64)
+            raw, n = c.unmerge(np.array([i for x in ids for i in x or ()], np.int32), sizes)
+            ends = np.cumsum(n).tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([raw[e - k : e] if x is not None else None for x, e, k in zip(ids, ends, n.tolist(), strict=True)], pa.binary())], names=["_row", out])
 
     return rows.mapInArrow(run, with_fields(kept, f"`{out}` binary")).select("_row.*", out)
