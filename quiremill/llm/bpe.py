@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import with_fields
+from quiremill.llm.common import begin, with_fields
 
 #: Bytes that are contracted as one row.
 WINDOW = 1 << 16
@@ -364,12 +364,19 @@ _codecs: dict[tuple, Codec] = {}
 def codec(path: str, pattern: str = PATTERN) -> Codec:
     """This worker's codec for a rank file."""
     key = (os.getpid(), path, pattern)
+    begin("bpe", _drop)
     if key not in _codecs:
-        _codecs.clear()
+        _drop()
         _codecs[key] = Codec(path, pattern)
     return _codecs[key]
 
 
+def _drop() -> None:
+    for c in _codecs.values():
+        c.db.close()
+    _codecs.clear()
+
+
 def _ids_array(raw: list[bytes | None]) -> pa.Array:
     ends = np.zeros(len(raw) + 1, np.int32)
     np.cumsum([len(r or b"") // 4 for r in raw], out=ends[1:])

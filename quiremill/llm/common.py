@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import json
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +84,27 @@ def added(blocks: DataFrame) -> DataFrame:
     return blocks.repartition("block").mapInArrow(run, BLOCKS)
 
 
+#: How to drop what this worker keeps between its tasks, by operator.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def begin(operator: str, drop: Callable[[], None] | None = None) -> None:
+    """Says whose task this worker begins. What it kept for others goes and its memory is given back, so that workers, which wait as long as there are tasks, hold one operator's tables and caches.
+
+    drop: drops what ``operator`` is going to keep.
+    """
+    others = [o for o in _kept if o != operator]
+    for o in others:
+        _kept.pop(o)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL(None).malloc_trim(0)
+    if drop:
+        _kept[operator] = drop
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of finished phases: it acts when the driver's JVM drops their handles."""
     gc.collect()

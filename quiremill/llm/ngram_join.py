@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import BLOCKS, added, checkpointed, packed, release, small, with_small
+from quiremill.llm.common import BLOCKS, added, begin, checkpointed, packed, release, small, with_small
 from quiremill.llm.components import components
 
 SHINGLE = 4
@@ -214,6 +214,7 @@ def fold(x: np.ndarray, width: int) -> np.ndarray:
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("ngram_join")
         shingles = Shingler(size)
         for batch in batches:
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
@@ -224,6 +225,7 @@ def _sets(size: int):
 
 def _each_keys(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
     """(node, keys) of the batches' sets; copies within a task give their keys once."""
+    begin("ngram_join")
     shingles, seen = Shingler(size), set()
     for batch in batches:
         for text in batch.column(0):

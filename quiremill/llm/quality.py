@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import BLOCKS, added, checkpointed, packed
+from quiremill.llm.common import BLOCKS, added, begin, checkpointed, packed
 
 #: Labelled good documents that are used at most.
 SAMPLE = 20_000
@@ -91,6 +91,7 @@ def stretches(text: str) -> Iterator[str]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts per bucket over a task's rows (text, good): raw and target."""
+    begin("quality")
     features, raw, target = Features(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for text, good in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -133,6 +134,7 @@ def weights(docs: DataFrame, ratio: np.ndarray, columns: tuple[str, ...] = ("id"
     """``columns`` of docs and log_weight of their ``text``; null for a text without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
         features = Features()
         for batch in batches:
             found = ([float(ratio[f].sum()) for f in features(t.as_py())] for t in batch.column(len(columns)))

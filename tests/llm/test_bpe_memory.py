@@ -1,13 +1,16 @@
-"""What a worker remembers of pieces: the ones it meets again, in bounded memory."""
+"""What a worker remembers of pieces: the ones it meets again, in bounded memory, and only as long as it encodes."""
 
 import random
+import re
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
-from quiremill.llm import bpe
+from quiremill.llm import bpe, ngram_join, quality
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -31,6 +34,11 @@ def same(codec, library, texts):
     return all(np.frombuffer(ids, np.int32).tolist() == library.encode_ordinary(t) and raw == t.encode() for (ids, raw), t in zip(got, texts, strict=True))
 
 
+def anonymous():
+    """MB of this process that no file stands for."""
+    return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+
 def test_common_pieces_are_encoded_once(codec, library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED", 1_000_000)
     rng, encoded = random.Random(5), []
@@ -60,3 +68,16 @@ def test_a_failure_leaves_nothing_half_known(library, monkeypatch):
         codec.round_trip(["qzxjq zzqxj"])
     monkeypatch.setattr(bpe.Codec, "merge", merge)
     assert same(codec, library, ["zzqxj qzxjq zzqxj"])
+
+
+@pytest.mark.parametrize("other", ["quality", "ngram_join"])
+def test_other_operators_drop_the_codec(other):
+    rng = random.Random(7)
+    bpe.codec(RANKS).round_trip(["".join(words(rng, 200_000))])
+    held = anonymous()
+    if other == "quality":
+        list(quality._counted(iter([pa.RecordBatch.from_arrays([pa.array(["a b"]), pa.array([True])], names=["text", "good"])])))
+    else:
+        list(ngram_join._sets(5)(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a b"]), pa.array([2])], names=["id", "text", "h"])])))
+    assert not bpe._codecs
+    assert anonymous() < held - 60
