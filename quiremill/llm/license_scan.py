@@ -9,14 +9,17 @@ or hold enough of the passage's, as a window of a long text does. A notice of a
 
 Texts are read twice: line by line, for notices of one line, and by paragraphs (lines up to one without words) for those that
 are wrapped. What has more than ``WINDOW`` words is read in windows of so many words that overlap by half, so that a notice
-inside long prose isn't thinned out; the whole text is read in any case.
+inside long prose isn't thinned out; the whole text is read in any case. The classifier scores the windows of many texts at a time;
+those that it takes for more than prose are then read one by one.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections.abc import Callable, Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,10 @@ SAMPLE_LINES, SAMPLE_CHARS = 4, 20_000
 FEW, PART = 5, 10
 #: Share of a notice's word pairs that a passage must hold. Similarities that differ by ``SAME`` at most are alike.
 CONFIRMED, SAME = 0.6, 0.005
+#: Texts are scored by so many characters at a time, or one text if it is longer, and by so many windows; neither changes what is found.
+CHARS, BLOCK = 1 << 20, 4096
+#: Windows whose prose leads by less, which is far above rounding, are judged one by one.
+LEAD = 1e-6
 #: From here on templates tell the family, and the classifier whether it is a known one.
 PLAIN = 0.9
 SPAN = "array<struct<paragraph: int, start: int, `end`: int, family: string, probability: double, similarity: double, predicted: string>>"
@@ -182,6 +189,16 @@ class Model:
         self.least = float(np.quantile(p[rows, hy][right], 0.02)) if right.any() else 0.5
         self.pairs = {c: [(frozenset(zip(t, t[1:], strict=False)), tuple(t)) for t in map(words, templates(c))] for c in NOTICES}
         self.words = frozenset(g for g in known if " " not in g)
+        # The n-grams known by number, from 1: a longer one by its key, made of the number of all its words but the last and that of the last.
+        self.numbers = {g: i for i, g in enumerate(sorted(self.words), 1)}
+        self.base, shorter = len(self.numbers) + 1, self.numbers
+        self.rows = [np.array([0, *(self.index[g] for g in shorter)])]
+        self.keys = []
+        for n in (2, 3):
+            keyed = sorted((shorter[g.rsplit(" ", 1)[0]] * self.base + self.numbers[g.rsplit(" ", 1)[1]], g) for g in known if g.count(" ") == n - 1)
+            shorter = {g: i for i, (_, g) in enumerate(keyed, 1)}
+            self.keys.append(np.array([k for k, _ in keyed], np.int64))
+            self.rows.append(np.array([0, *(self.index[g] for g in shorter)]))
 
     def _matrix(self, texts: Sequence[str]) -> np.ndarray:
         x = np.zeros((len(texts), len(self.index) + 1), np.float32)
@@ -239,14 +256,54 @@ class Model:
             return UNKNOWN, sure, near[named], c, ()
         return named if len(fits) == 1 else UNKNOWN, sure, best, named, fits
 
-    def _windows(self, tokens: Sequence[tuple[str, int, int, int]], text: str, wrapped: bool = False) -> list[dict]:
-        """Passages of (word, start, end, line) by windows; ``wrapped`` leaves out windows of one line. Of overlapping windows that name one family the likelier stays."""
-        out, last = [], None
-        step = WINDOW if len(tokens) <= WINDOW else WINDOW // 2
-        for lo in range(0, max(1, len(tokens) - step) if len(tokens) > WINDOW else min(1, len(tokens)), step):
-            part = tokens[lo : lo + WINDOW]
-            if wrapped and part[0][3] == part[-1][3]:
+    def _known(self, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Where known 1-, 2- and 3-grams start in the numbers of words (0: unknown), and their features."""
+        at = np.flatnonzero(ids)
+        number = ids[at].astype(np.int64)
+        out = [(at, self.rows[0][number])]
+        for n, keys in enumerate(self.keys, 1):
+            inside = at + n < len(ids)
+            at, number = at[inside], number[inside]
+            key = number * self.base + ids[at + n]
+            k = np.searchsorted(keys, key).clip(max=len(keys) - 1)
+            same = keys[k] == key
+            at, number = at[same], k[same] + 1
+            out.append((at, self.rows[n][number]))
+        return out
+
+    def _open(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether ``judge`` has to look at each window: whether its likeliest class isn't surely prose."""
+        known, wide = self._known(ids), len(self.w)
+        out = np.zeros(len(starts), bool)
+        for i in range(0, len(starts), BLOCK):
+            start, end = starts[i : i + BLOCK], ends[i : i + BLOCK]
+            found = []
+            for n, (at, feature) in enumerate(known):
+                lo, hi = np.searchsorted(at, start), np.searchsorted(at, end - n)
+                count = (hi - lo).clip(0)
+                which = np.arange(count.sum()) + np.repeat(lo - count.cumsum() + count, count)
+                found.append(np.repeat(np.arange(len(start)), count) * wide + feature[which])
+            found = np.sort(np.concatenate(found))
+            if not len(found):  # without known words all is prose
                 continue
+            window, feature = np.divmod(found[np.diff(found, prepend=-1) > 0], wide)
+            first = np.flatnonzero(np.diff(window, prepend=-1))
+            z = np.add.reduceat(self.w[feature], first) / np.sqrt(np.diff(first, append=len(window)))[:, None] + self.w[-1]
+            out[i + window[first]] = z[:, 1:].max(1) > z[:, 0] - LEAD
+        return out
+
+    @staticmethod
+    def _windows(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the windows of stretches of words."""
+        step = WINDOW // 2
+        count = np.where(sizes <= WINDOW, 1, -((step - sizes) // step))
+        lo = np.repeat(starts, count) + step * (np.arange(count.sum()) - np.repeat(count.cumsum() - count, count))
+        return lo, np.minimum(lo + WINDOW, np.repeat(starts + sizes, count))
+
+    def _passages(self, parts: Iterable[Sequence[tuple[str, int, int, int]]], text: str) -> list[dict]:
+        """Passages of windows of (word, start, end, line). Of overlapping windows that name one family the likelier stays."""
+        out, last = [], None
+        for part in parts:
             found = self.judge([t[0] for t in part], lambda i, part=part: _ENDED.match(text, part[i][2]) is not None)
             if found is None:
                 continue
@@ -271,34 +328,85 @@ class Model:
         Passages of lines come first. A wrapped passage of a family is added unless a line that it covers has that family; lines unknown
         by themselves that are pieces of its notice go. A wrapped unknown passage is added where nothing else is.
         """
-        out, at = [], 0
-        lines: list[list[tuple[str, int, int, int]]] = []
-        text = text or ""
-
-        def close() -> None:
-            own = [x for line in lines for x in self._windows(line, text)]
-            if len(lines) > 1:
-                tokens = [t for line in lines for t in line]
-                wide = self._windows(tokens, text, wrapped=True)
-                for x in sorted(wide, key=lambda x: (x["family"] == UNKNOWN, x["start"])):
-                    over = [y for y in own if y["start"] < x["end"] and x["start"] < y["end"]]
-                    if x["family"] != UNKNOWN:
-                        own = [y for y in own if y["family"] != UNKNOWN or y["fits"] or y not in over or not self._part_of(x["family"], words(text[y["start"] : y["end"]]))]
-                    if x["family"] == UNKNOWN and over or any(y["family"] == x["family"] for y in over):
-                        continue
-                    own.append(x)
-            out.extend(sorted(own, key=lambda x: (x["start"], x["end"])))
-            lines.clear()
-
-        for i, line in enumerate(text.split("\n")):
-            tokens = [(m.group().lower(), at + m.start(), at + m.end(), i) for m in _WORD.finditer(line)]
-            if tokens:
-                lines.append(tokens)
-            else:
-                close()
-            at += len(line) + 1
-        close()
-        return self._settled(out)
+        return next(self.scan_all([text]))
+
+    def scan_all(self, texts: Iterable[str | None]) -> Iterator[list[dict]]:
+        """``scan`` of each text."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text or "")
+            size += len(group[-1])
+            if size >= CHARS:
+                yield from self._scan(group)
+                group, size = [], 0
+        yield from self._scan(group)
+
+    def _scan(self, texts: Sequence[str]) -> list[list[dict]]:
+        out: list[list[dict]] = [[] for _ in texts]
+        # Of words their number (0: unknown), of lines that have words their size, their text and their place in it.
+        ids, sizes, owners, places = array("i"), array("q"), array("q"), array("q")
+        for k, text in enumerate(texts):
+            for i, line in enumerate(text.split("\n")):
+                before = len(ids)
+                ids.extend(map(self.numbers.get, map(str.lower, _WORD.findall(line)), repeat(0)))
+                if len(ids) > before:
+                    sizes.append(len(ids) - before)
+                    owners.append(k)
+                    places.append(i)
+        if not sizes:
+            return out
+        ids, sizes, owners, places = (np.frombuffer(x, x.typecode) for x in (ids, sizes, owners, places))
+        first = sizes.cumsum() - sizes
+        top = np.flatnonzero((np.diff(owners, prepend=-1) != 0) | (np.diff(places, prepend=-1) != 1))  # lines that begin a paragraph
+        many = np.diff(top, append=len(sizes)) > 1
+        lo, hi = self._windows(first, sizes)
+        wide_lo, wide_hi = self._windows(first[top][many], np.add.reduceat(sizes, top)[many])
+        wrapped = np.searchsorted(first, wide_lo, "right") != np.searchsorted(first, wide_hi - 1, "right")
+        wide = np.repeat([False, True], [len(lo), wrapped.sum()])
+        lo, hi = np.concatenate([lo, wide_lo[wrapped]]), np.concatenate([hi, wide_hi[wrapped]])
+        left = self._open(ids, lo, hi)
+        lo, hi, wide = lo[left], hi[left], wide[left]
+        line = np.searchsorted(first, lo, "right") - 1
+        # What is left, by paragraph: windows within lines, by line, and wrapped ones.
+        by: dict[int, tuple[dict[int, list], list]] = {}
+        for p, j, x, y, w in zip(*(v.tolist() for v in (np.searchsorted(top, line, "right") - 1, line, lo, hi, wide)), strict=True):
+            within, across = by.setdefault(p, ({}, []))
+            (across if w else within.setdefault(j, [])).append((j, x, y))
+        at: tuple[int, list[str], list[int]] = (-1, [], [])  # a text, its lines and where they start
+        for p in sorted(by):
+            k = int(owners[top[p]])
+            if at[0] != k:
+                split = texts[k].split("\n")
+                at = k, split, list(accumulate((len(x) + 1 for x in split), initial=0))
+            within, across = by[p]
+            read: dict[int, list[tuple[str, int, int, int]]] = {}
+
+            def part(j: int, lo: int, hi: int, at=at, read=read) -> list[tuple[str, int, int, int]]:
+                """Words lo to hi, from the j-th line on."""
+                found: list[tuple[str, int, int, int]] = []
+                while lo < hi:
+                    if j not in read:
+                        i = int(places[j])
+                        read[j] = [(m.group().lower(), at[2][i] + m.start(), at[2][i] + m.end(), i) for m in _WORD.finditer(at[1][i])]
+                    start = int(first[j])
+                    found += read[j][lo - start : hi - start]
+                    j, lo = j + 1, start + len(read[j])
+                return found
+
+            own = [x for windows in within.values() for x in self._passages((part(*x) for x in windows), texts[k])]
+            out[k] += self._merged(own, self._passages((part(*x) for x in across), texts[k]), texts[k])
+        return [self._settled(x) for x in out]
+
+    def _merged(self, own: list[dict], wide: list[dict], text: str) -> list[dict]:
+        """Passages of a paragraph's lines and its wrapped ones, as ``scan`` tells."""
+        for x in sorted(wide, key=lambda x: (x["family"] == UNKNOWN, x["start"])):
+            over = [y for y in own if y["start"] < x["end"] and x["start"] < y["end"]]
+            if x["family"] != UNKNOWN:
+                own = [y for y in own if y["family"] != UNKNOWN or y["fits"] or y not in over or not self._part_of(x["family"], words(text[y["start"] : y["end"]]))]
+            if x["family"] == UNKNOWN and over or any(y["family"] == x["family"] for y in over):
+                continue
+            own.append(x)
+        return sorted(own, key=lambda x: (x["start"], x["end"]))
 
     @staticmethod
     def _settled(spans: list[dict]) -> list[dict]:
@@ -344,6 +452,6 @@ def scan(df: DataFrame, model: Model, text_col: str = "text", out: str = "licens
         kind = None
         for batch in batches:
             kind = kind or pa.list_(pa.struct([("paragraph", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("predicted", pa.string())]))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([model.scan(t.as_py()) for t in batch.column(0)], kind)], names=["_row", out])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(model.scan_all(t.as_py() for t in batch.column(0))), kind)], names=["_row", out])
 
     return rows.mapInArrow(run, schema).select("_row.*", out)
