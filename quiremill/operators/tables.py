@@ -121,7 +121,7 @@ def profiles(cells: DataFrame, group: Sequence[str] = (), limits: Limits = DEFAU
 
     Distinct values ignore case and show the spelling seen first. All values are listed if there are few enough and none is long and the table was read
     whole (``complete``); else the first five are examples. The median is the upper one. Values are first made distinct, so that
-    a column of few values costs few rows after the first aggregation.
+    a column of few values costs few rows after the first aggregation; no row gathers more of a column than the values it may list.
     """
     keys = [*group, "column"]
     kind = value_kind(F.col("value"))
@@ -135,35 +135,58 @@ def profiles(cells: DataFrame, group: Sequence[str] = (), limits: Limits = DEFAU
     )
     per_low = per_value.groupBy(*keys, "_low").agg(
         F.min_by("value", "first").alias("value"), F.min("first").alias("first"), F.sum("n").alias("n"), F.sum(F.when(F.col("_kind") == "number", F.col("n")).otherwise(0)).alias("n_num"),
-        F.collect_set("_kind").alias("kinds"), F.sum(F.when(F.col("_odd"), F.col("n")).otherwise(0)).alias("n_odd"), F.array_sort(F.collect_list(F.when(F.col("_num").isNotNull(), F.struct(F.col("_num").alias("x"), "n")))).alias("nums"),
+        F.min("_kind").alias("_kind"), F.max("_kind").alias("_last_kind"), F.sum(F.when(F.col("_odd"), F.col("n")).otherwise(0)).alias("n_odd"), F.min("_num").alias("_min"), F.max("_num").alias("_max"),
     )
     value = F.col("value").isNotNull()
     a = per_low.groupBy(*keys).agg(
         F.sum(F.when(value, F.col("n")).otherwise(0)).alias("n_values"), F.sum(F.when(~value, F.col("n")).otherwise(0)).alias("n_empty"), F.count(F.when(value, 1)).alias("n_unique"), F.sum("n_num").alias("n_num"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("kinds")))).alias("kinds"), F.sum("n_odd").alias("n_non_finite"), F.max(F.when(value, F.length("value"))).alias("longest"),
-        F.slice(F.array_sort(F.collect_list(F.when(value, F.struct("first", "value")))), 1, max(limits.max_unique_values, 5) + 1).alias("firsts"), F.array_sort(F.flatten(F.collect_list("nums"))).alias("nums"),
+        F.min("_kind").alias("kind"), F.max("_last_kind").alias("_last_kind"), F.sum("n_odd").alias("n_non_finite"), F.max(F.when(value, F.length("value"))).alias("longest"), F.min("_min").alias("min"), F.max("_max").alias("max"),
     )
-    single = F.size("kinds") == 1
-    dtype = F.when(F.col("n_values") == 0, "empty").when(single, F.get("kinds", F.lit(0))).when(F.col("n_num") >= NUMERIC_SHARE * F.col("n_values"), "number").otherwise("mixed")
-    a = a.withColumn("dtype", dtype)
+    # The first values of a column. The condition holds a count so that it stays above the first aggregation, which then runs once for all uses.
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("first", "value"))
+    top = per_low.where(F.when(F.col("n") > 0, F.col("value")).isNotNull()).withColumn("_place", place).where(F.col("_place") <= max(limits.max_unique_values, 5) + 1)
+    firsts = top.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_place", "value"))).alias("firsts"))
+    for part in (firsts, _upper_medians(per_value, keys)):
+        a = _beside(a, part, keys)
+    single = F.col("kind") == F.col("_last_kind")
+    dtype = F.when(F.col("n_values") == 0, "empty").when(single, F.col("kind")).when(F.col("n_num") >= NUMERIC_SHARE * F.col("n_values"), "number").otherwise("mixed")
+    a = a.withColumn("dtype", dtype).withColumn("firsts", F.coalesce(F.transform("firsts", lambda x: x["value"]), F.array().cast("array<string>")))
     few = F.when(F.col("dtype") == "number", F.col("n_unique") <= limits.max_unique_numeric_values).otherwise(F.col("n_unique") <= limits.max_unique_values)
     whole = F.lit(complete) & few & (F.col("longest") <= limits.max_value_chars) & (F.col("n_unique") > 0)
-    names = F.transform("firsts", lambda x: x["value"])
-    by_number = F.transform(F.array_sort(F.transform(names, lambda v: F.struct(as_number(v).isNull().alias("no"), as_number(v).alias("x"), v.alias("v")))), lambda s: s["v"])
-    by_text = F.transform(F.array_sort(F.transform(names, lambda v: F.struct(F.lower(v).alias("l"), v.alias("v")))), lambda s: s["v"])
-    # The upper median of weighted values: the first whose running count passes half of all.
-    total = F.aggregate("nums", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
-    run = F.aggregate(
-        "nums", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("at")),
-        lambda acc, x: F.struct((acc["seen"] + x["n"]).alias("seen"), F.when(acc["at"].isNull() & (acc["seen"] + x["n"] > F.floor(total / 2)), x["x"]).otherwise(acc["at"]).alias("at")),
-    )
+    by_number = F.transform(F.array_sort(F.transform("firsts", lambda v: F.struct(as_number(v).isNull().alias("no"), as_number(v).alias("x"), v.alias("v")))), lambda s: s["v"])
+    by_text = F.transform(F.array_sort(F.transform("firsts", lambda v: F.struct(F.lower(v).alias("l"), v.alias("v")))), lambda s: s["v"])
     is_num = F.col("dtype") == "number"
     return a.select(
-        *keys, "dtype", "n_values", "n_empty", "n_unique", F.when(whole, F.when(is_num, by_number).otherwise(by_text)).alias("values"), F.when(~F.coalesce(whole, F.lit(False)), F.slice(names, 1, 5)).alias("examples"),
-        F.when(is_num, F.get("nums", F.lit(0))["x"]).alias("min"), F.when(is_num, F.get("nums", F.size("nums") - 1)["x"]).alias("max"), F.when(is_num, run["at"]).alias("median"), "n_non_finite",
+        *keys, "dtype", "n_values", "n_empty", "n_unique", F.when(whole, F.when(is_num, by_number).otherwise(by_text)).alias("values"), F.when(~F.coalesce(whole, F.lit(False)), F.slice("firsts", 1, 5)).alias("examples"),
+        F.when(is_num, F.col("min")).alias("min"), F.when(is_num, F.col("max")).alias("max"), F.when(is_num, F.col("median")).alias("median"), "n_non_finite",
     )
 
 
+def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on keys that may be null."""
+    r = right.select(*(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), *(c for c in right.columns if c not in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
+    return left.join(r, same, "left").drop(*(f"_r{i}" for i in range(len(keys))))
+
+
+def _upper_medians(per_value: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, median): of all numbers of a column, each ``n`` times, the one with half of them, rounded down, before it.
+
+    Numbers are counted by their order of magnitude in steps of 2 ** (1 / 1024), which keeps their order, and only those of the step that holds the median are put in order.
+    """
+    size = F.rint(F.log2(F.abs("_num")) * 1024) + 2_000_000  # above 0 for all doubles but 0, whose logarithm is null
+    # Both columns of the first aggregation are named, so that it runs once for all uses.
+    nums = per_value.where(F.when((F.col("n") > 0) | F.col("first").isNull(), F.col("_num")).isNotNull())
+    nums = nums.groupBy(*keys, "_num").agg(F.sum("n").alias("n")).withColumn("_step", F.coalesce(F.signum("_num") * size, F.lit(0.0)))
+    w = Window.partitionBy(*keys)
+    steps = nums.groupBy(*keys, "_step").agg(F.sum("n").alias("_n")).withColumn("_half", F.floor(F.sum("_n").over(w) / 2))
+    steps = steps.withColumn("_before", F.sum("_n").over(w.orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+    middle = steps.where((F.col("_before") <= F.col("_half")) & (F.col("_half") < F.col("_before") + F.col("_n")))
+    near = _beside(nums, middle.select(*keys, "_step", (F.col("_half") - F.col("_before")).alias("_rest")), [*keys, "_step"]).where("_rest is not null")
+    run = F.sum("n").over(w.orderBy("_num").rowsBetween(Window.unboundedPreceding, 0))
+    return near.withColumn("_run", run).where(F.col("_run") > F.col("_rest")).groupBy(*keys).agg(F.min("_num").alias("median"))
+
+
 def self_named(profile: DataFrame) -> DataFrame:
     """ST8. Adds ``self_named``: the column's name stands among its own values, so the header is in doubt."""
     return profile.withColumn("self_named", F.coalesce(F.array_contains(F.transform(F.coalesce("values", "examples"), lambda v: F.lower(v)), F.lower("column")), F.lit(False)))

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from quiremill import vocab
@@ -104,6 +106,21 @@ def test_profile_median_is_the_upper_one(spark):
     assert p["t"]["values"] == ["a", "B"] and p["t"].n_unique == 2
 
 
+def test_profile_of_many_numbers_walks_no_list_of_them(spark):
+    rng = random.Random(3)
+    columns = {"wide": [f"{rng.choice(['', '-'])}{rng.random() * 10 ** rng.randint(-5, 9):.3g}" for _ in range(999)], "few": [rng.choice(["0", "-0", "7", "7.0", "12%"]) for _ in range(500)], "near": [str(1.7e9 + i) for i in range(64)], "one": ["1e400"], "text": [f"t{i}" for i in range(40)], "mixed": ["x", "1"]}
+    c = spark.createDataFrame([(g, i, k, v) for g in ("g", None) for k, vs in columns.items() for i, v in enumerate(vs)], "sheet string, row_no int, column string, value string")
+    profile = tables.profiles(c, ["sheet"])
+    p = {(r.sheet, r.column): r for r in profile.collect()}
+    assert len(p) == 12
+    for sheet in ("g", None):
+        for k in ("wide", "few", "near", "one"):
+            x = sorted(float(v.rstrip("%")) for v in columns[k])
+            assert (p[sheet, k].median, p[sheet, k].min, p[sheet, k].max, p[sheet, k].n_values) == (x[len(x) // 2], x[0], x[-1], len(x))
+        assert p[sheet, "text"].examples == ["t0", "t1", "t2", "t3", "t4"] and p[sheet, "mixed"].dtype == "mixed" and p[sheet, "mixed"].median is None
+    assert " aggregate(" not in profile._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_card_rendering_counts_what_it_hides(spark):
     lines = spark.createDataFrame([("s", i, "x" * 30) for i in range(10)], "slug string, position int, line string")
     r = tables.rendered_card(lines, ["slug"], Limits(max_card_chars=125)).first()
