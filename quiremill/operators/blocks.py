@@ -6,11 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quiremill import schemas
 
 PACK_BUDGET = 60_000
 TABLE_HEADROOM = 400
+#: Blocks of an article that a pack looks at before it leaves out what can't fit any more.
+PACK_HEAD = 256
+PACK_ORDER = ("rank", "index", "block_id", "chars", "is_table")
 PROVENANCE = ("block_id", "kind", "role", "section", "source_file", "locator", "chars")
 
 
@@ -66,23 +70,74 @@ def preference(sections: Sequence[str]) -> Column:
 def packed(blocks: DataFrame, budget: int = PACK_BUDGET, headroom: int = TABLE_HEADROOM, sections: Sequence[str] = ()) -> DataFrame:
     """S2. Per slug the blocks that a greedy walk in preferred order keeps within ``budget`` characters, and what it drops.
 
-    A block that doesn't fit is skipped and the walk goes on; a table needs ``headroom`` characters left, however small it is. One fold per article.
+    A block that doesn't fit is skipped and the walk goes on; a table needs ``headroom`` characters left, however small it is. The lists are as long as the article;
+    who takes only the counts gathers no blocks in one row.
+    """
+    order = F.struct(*PACK_ORDER)
+    b = pack_marks(blocks, budget, headroom, sections).withColumn("n_dropped", F.col("n") - F.col("n_kept"))
+
+    def ids(n):
+        listed = F.array_sort(F.collect_list(F.when(F.col(n) > 0, F.struct(order.alias("o"), F.col(n).cast("int").alias("n")))))
+        return F.flatten(F.transform(listed, lambda x: F.array_repeat(x["o"]["block_id"].cast("string"), x["n"])))
+
+    unknown = F.max(F.col("chars").isNull() & (F.col("n_dropped") > 0))
+    chars = lambda n: F.coalesce(F.sum(F.col("chars").cast("long") * F.col(n)), F.lit(0).cast("long"))
+    return b.groupBy("slug").agg(
+        F.sum("n").cast("int").alias("considered"), chars("n_kept").alias("used"), ids("n_kept").alias("kept"), ids("n_dropped").alias("dropped"), F.when(~unknown, chars("n_dropped")).alias("dropped_chars"), F.sum("n_kept").alias("n_kept")
+    )
+
+
+def pack_marks(blocks: DataFrame, budget: int = PACK_BUDGET, headroom: int = TABLE_HEADROOM, sections: Sequence[str] = (), head: int = PACK_HEAD) -> DataFrame:
+    """S2. (slug, PACK_ORDER, n, n_kept): blocks, equal ones as one row, and how many of them the walk of ``packed`` keeps. ``chars`` are from 0.
+
+    What is left of the budget never grows, so a block larger than what is left after the ``head`` first ones is surely skipped. These are walked first, and then, behind them, the blocks that may still fit.
+    Blocks without characters change nothing: they are judged by where the walk falls below ``headroom``.
     """
     rank = preference(sections) if sections else F.lit(0)
-    item = F.struct(rank.alias("rank"), "index", "block_id", "chars", (F.col("kind") == "table").alias("is_table"))
-    listed = blocks.groupBy("slug").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    zero = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<string>").alias("kept"), F.array().cast("array<string>").alias("dropped"), F.lit(0).cast("long").alias("dropped_chars"))
-
-    def step(acc, b):
-        fits = (acc["used"] + b["chars"] <= budget) & (~b["is_table"] | (F.lit(budget) - acc["used"] >= headroom))
-        return F.struct(
-            F.when(fits, acc["used"] + b["chars"]).otherwise(acc["used"]).alias("used"),
-            F.when(fits, F.array_append(acc["kept"], b["block_id"])).otherwise(acc["kept"]).alias("kept"),
-            F.when(fits, acc["dropped"]).otherwise(F.array_append(acc["dropped"], b["block_id"])).alias("dropped"),
-            F.when(fits, acc["dropped_chars"]).otherwise(acc["dropped_chars"] + b["chars"]).alias("dropped_chars"),
-        )
-
-    return listed.select("slug", F.aggregate("items", zero, step).alias("p"), F.size("items").alias("considered")).select("slug", "considered", "p.used", "p.kept", "p.dropped", "p.dropped_chars")
+    one = blocks.select("slug", rank.alias("rank"), "index", "block_id", "chars", (F.col("kind") == "table").alias("is_table"))
+    table, order = F.coalesce("is_table", F.lit(True)), F.struct(*PACK_ORDER)
+    need = F.when(table, F.greatest(F.col("chars"), F.lit(headroom))).otherwise(F.col("chars"))
+    b = one.groupBy("slug", *PACK_ORDER).agg(F.count(F.lit(1)).alias("n"))
+    # The condition holds a count so that it stays above the aggregation, which then runs once for all uses.
+    live = b.where(F.when(F.col("n") > 0, (F.col("chars") > 0) & (need <= budget))).withColumn("_need", need.cast("long"))
+    w = Window.partitionBy("slug").orderBy(*PACK_ORDER)
+    first = _walked(live.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= head).drop("_place").withColumn("_left", F.lit(budget).cast("long")))
+    reached = first.groupBy(F.col("slug").alias("_slug")).agg(F.min("_left").alias("_left"), F.max(order).alias("_last"), F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") == head)
+    rest = live.join(reached, F.col("slug").eqNullSafe(F.col("_slug"))).where((order > F.col("_last")) & (F.col("_need") <= F.col("_left")))
+    walked = first.unionByName(_walked(rest.select(*live.columns, "_left")))
+    short = walked.where(F.col("_left") < headroom).groupBy(F.col("slug").alias("_slug")).agg(F.min(order).alias("_short"))
+    bare = b.where(F.when(F.col("n") > 0, (F.col("chars") == 0) & table)).join(short, F.col("slug").eqNullSafe(F.col("_slug")), "left")
+    bare = bare.where(F.lit(headroom <= budget) & (F.col("_short").isNull() | (order < F.col("_short"))))
+    none = F.lit(0).cast("long")
+    marks = b.withColumn("n_kept", F.when((F.col("chars") == 0) & ~table, F.col("n")).otherwise(none))
+    for kept in (walked.select("slug", *PACK_ORDER, none.alias("n"), "n_kept"), bare.select("slug", *PACK_ORDER, none.alias("n"), F.col("n").alias("n_kept"))):
+        marks = marks.unionByName(kept)
+    return marks.groupBy("slug", *PACK_ORDER).agg(F.sum("n").alias("n"), F.sum("n_kept").alias("n_kept"))
+
+
+def _walked(rows: DataFrame) -> DataFrame:
+    """Rows with ``n_kept`` of their ``n`` equal blocks that a walk in order keeps, from ``_left`` characters at a slug's first row on; ``_left`` is then what is left behind the row. One row at a time."""
+    ordered = rows.repartition("slug").sortWithinPartitions("slug", *PACK_ORDER)
+
+    def walk(batches):
+        import pyarrow as pa
+
+        now, left = object(), 0
+        for batch in batches:
+            kept, after = [], []
+            for slug, chars, need, n, start in zip(*(batch.column(c).to_pylist() for c in ("slug", "chars", "_need", "n", "_left")), strict=True):
+                if slug != now:
+                    now, left = slug, start
+                k = min(n, (left - need) // chars + 1) if need <= left else 0
+                left -= k * chars
+                kept.append(k)
+                after.append(left)
+            held = [batch.column(c) for c in batch.schema.names if c != "_left"]
+            yield pa.RecordBatch.from_arrays([*held, pa.array(kept, pa.int64()), pa.array(after, pa.int64())], [*(c for c in batch.schema.names if c != "_left"), "n_kept", "_left"])
+
+    ordered = ordered.select(*(c for c in ordered.columns if c != "_left"), "_left")
+    schema = StructType([*(f for f in ordered.schema if f.name != "_left"), StructField("n_kept", LongType()), StructField("_left", LongType())])
+    return ordered.mapInArrow(walk, schema)
 
 
 def first_kept(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -71,7 +71,7 @@ select slug, max(n)::bigint as considered, arg_max(used, n) as used, arg_max(kep
 def pack_greedy(spark, sf_dir):
     """A greedy pack per source."""
     p = blocks.packed(_as_sectioned(spark, sf_dir))
-    return p.select("slug", F.col("considered").cast("long").alias("considered"), "used", F.size("kept").cast("long").alias("n_kept"))
+    return p.select("slug", F.col("considered").cast("long").alias("considered"), "used", "n_kept")
 
 
 @query(r"""select source, text_md5 as digest, min(doc_id) as kept, count(*) as copies from (select source, md5(text) as text_md5, doc_id from documents) group by all""")

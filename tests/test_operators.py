@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quiremill import vocab
@@ -27,6 +28,40 @@ def test_pack_skips_and_goes_on(spark):
     assert (p.kept, p.dropped, p.used, p.dropped_chars) == (["a", "d"], ["b", "c"], 90, 70)
 
 
+def _pack(items, budget, headroom):
+    """The walk itself, over (index, block_id, chars, kind) in order."""
+    used, gone, kept, dropped = 0, 0, [], []
+    for _, name, chars, kind in items:
+        if chars is not None and used + chars <= budget and (kind not in ("table", None) or budget - used >= headroom):
+            used += chars
+            kept.append(name)
+        else:
+            gone = None if gone is None or chars is None else gone + chars
+            dropped.append(name)
+    return len(items), used, kept, dropped, gone, len(kept)
+
+
+@pytest.mark.parametrize("head", [2, 256])
+def test_pack_is_the_walk_and_gathers_no_growing_lists(spark, head, monkeypatch):
+    rng, groups = random.Random(7), {}
+    for slug in ["a", "b", "c", None, "late"]:
+        sizes = [0, 0, 1, 2, 3, 7, 20, 45, 99, None] if slug != "late" else [0, 1, 1, 2]
+        groups[slug] = [(i // 2, f"b{i // 3:03}", rng.choice(sizes), rng.choice(["table", "paragraph", "paragraph"])) for i in range(90)] if slug != "c" else [(i, f"b{i}", 500, "table") for i in range(9)]
+    for slug, items in groups.items():
+        groups[slug] = sorted(items, key=lambda x: (x[0], x[1], (x[2] is not None, x[2] or 0), x[3] == "table"))
+    flat = [(slug, *x) for slug, items in groups.items() for x in items]
+    rng.shuffle(flat)
+    b = spark.createDataFrame(flat, "slug string, index int, block_id string, chars int, kind string")
+    walk = blocks.pack_marks
+    monkeypatch.setattr(blocks, "pack_marks", lambda *args: walk(*args, head=head))
+    for budget, headroom in ((100, 30), (60, 60), (20, 30)):
+        p = blocks.packed(b, budget, headroom)
+        got = {r.slug: (r.considered, r.used, r.kept, r.dropped, r.dropped_chars, r.n_kept) for r in p.collect()}
+        assert got == {slug: _pack(items, budget, headroom) for slug, items in groups.items()}
+    plan = p.select("slug", "used", "n_kept")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_append" not in plan and "collect_list" not in plan
+
+
 def test_filter_and_preference(spark):
     b = spark.createDataFrame([(0, "methods", "f1", "Alpha"), (1, None, "f2", "beta"), (2, "references", "f2", "alpha")], "index int, section string, source_file string, text string")
     assert rows(blocks.filtered(b, exclude_sections=["references"], contains="ALPHA"), "index") == [(0,)]
